@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import load
-from . import near, ranking
+from . import looks, near, packing, ranking, tokens, truncated
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -20,8 +20,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": lambda s, d: ranking.p3_found(load(s, d, "articles")),
     "p4_found": p4_found,
     "p5_found": lambda s, d: ranking.best_of_duplicates(load(s, d, "articles")),
+    "p6_found": lambda s, d: truncated.p6_found(load(s, d, "articles")),
+    "p6_source_rates": lambda s, d: truncated.source_rates(load(s, d, "articles")),
     "p7_found": lambda s, d: near.p7_found(load(s, d, "articles")),
     "p7_groups": lambda s, d: near.near_groups(load(s, d, "articles")),
+    "p8_ids": lambda s, d: tokens.token_ids(load(s, d, "documents")),
+    "p9_containers": lambda s, d: packing.containers(load(s, d, "documents")),
+    "p10_found": lambda s, d: looks.same_look(load(s, d, "documents")),
+    "p10_groups": lambda s, d: looks.look_groups(load(s, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {}
