@@ -14,9 +14,9 @@ from ..session import cut
 from .ranking import VOID
 
 # What feeds put where they stop, and what may follow a finished text.
-MARK = re.compile(r"(?:…|\.\.\.|\. \. \.|\[\s*…\s*\]|\(\s*…\s*\)|\[more\]|\(more\)|…\s*more|\.\.\.\s*more|(?:Continue reading|Read more|More)\s*(?:→|»)?|→|&hellip;|&#8230;|&#x2026;)$", re.I)
+MARK = re.compile(r"(?:…|\.\.\.|\. \. \.|\[\s*…\s*\]|\(\s*…\s*\)|\[more\]|\(more\)|…\s*more|\.\.\.\s*more|(?:Continue reading|Read more|More|続きを読む)\s*(?:→|»)?|(?:…|\.\.\.)\s*[^\s.!?。][^.!?。]{0,24}|→|&hellip;|&#8230;|&#x2026;)$", re.I)
 BROKEN = re.compile("(?:&#?[A-Za-z0-9]{0,7}|<[^<>]{0,200}|�+)$")
-TAIL = re.compile(r"(?:\s*(?:■|\[[^\[\]]{1,60}\]|\(\w[\w .]{1,30}\)|#\w+|https?://\S+|[—–-]\s+[^.!?。—–]{2,30}\bDesk))+$")
+TAIL = re.compile(r"(?:\s*(?:■|\[[^\[\]]{1,60}\]|\(\w[\w .]{1,30}\)|©\s?\w+|#\w+|https?://\S+|[—–-]\s+[^.!?。—–]{2,30}\bDesk))+$")
 ENDED = re.compile(r"[.!?。！？]['\"”’»)\]」』]*$")
 LEAST = 12
 LIMIT = 400
@@ -193,10 +193,13 @@ def cut_values(articles: DataFrame) -> DataFrame:
     wide = counts.select(F.col("k").alias("k3"), F.col("total").alias("t3"), F.col("final").alias("f3"))
     narrow = counts.select(F.col("k").alias("k2"), F.col("total").alias("t2"), F.col("final").alias("f2"))
     x = open_.join(wide, "k3", "left").join(narrow, "k2", "left").join(longer.withColumnRenamed("text", "core"), "core", "left")
-    piles = open_.groupBy("src", "field_name", "n").agg(F.count_distinct("core").alias("here"))
+    every = open_.unionByName(open_.withColumn("src", F.lit(None).cast("string")))  # a source alone, and all
+    piles = every.groupBy("src", "field_name", "n").agg(F.count_distinct("core").alias("here"))
     near = Window.partitionBy("src", "field_name").orderBy("n").rangeBetween(-6, 6)
-    piles = piles.withColumn("around", F.sum("here").over(near) - F.col("here")).where((F.col("here") >= 5) & (F.col("here") > F.col("around"))).select("src", "field_name", "n", F.lit(True).alias("piled"))
-    x = x.join(piles, ["src", "field_name", "n"], "left")
+    piles = piles.withColumn("around", F.sum("here").over(near) - F.col("here")).where((F.col("here") >= 5) & (F.col("here") > F.col("around")))
+    own = piles.where("src is not null").select("src", "field_name", "n", F.lit(True).alias("own_pile"))
+    all_ = piles.where("src is null").select("field_name", "n", F.lit(True).alias("pile"))
+    x = x.join(own, ["src", "field_name", "n"], "left").join(all_, ["field_name", "n"], "left").withColumn("piled", F.coalesce("own_pile", "pile"))
     known3, known2 = F.coalesce("t3", F.lit(0)), F.coalesce("t2", F.lit(0))
     rate = F.when(known3 >= SEEN, F.col("f3") / F.col("t3")).when(known2 > 0, F.coalesce("f2", F.lit(0)) / F.col("t2")).otherwise(0.0)
     long_ = F.length("core") >= LEAST
