@@ -6,5 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from .operators import instants
+from .tables import load
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": lambda s, d: instants.p2_found(load(s, d, "articles"), load(s, d, "sources"), load(s, d, "zone_codes")),
+}
 ORACLES: dict[str, str] = {}
