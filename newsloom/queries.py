@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import instants
+from .plans import matching, rollups, scalars, store
 from .tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": lambda s, d: instants.p2_found(load(s, d, "articles"), load(s, d, "sources"), load(s, d, "zone_codes")),
 }
 ORACLES: dict[str, str] = {}
+for area in (scalars, store, rollups, matching):
+    QUERIES |= area.query.queries
+    ORACLES |= area.query.oracles
