@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SCHEMA = "seq long, cluster string, is_new boolean"
 
@@ -14,6 +15,10 @@ def jaccard(a: set, b: set) -> float:
     return len(a & b) / len(a | b) if a and b else 0.0
 
 
+def cluster_name(article: str) -> str:
+    return "evc_" + "".join(c for c in article[-12:] if c in "abcdefghijklmnopqrstuvwxyz0123456789")
+
+
 class Events:
     """The events of one category, as they grow. An index from entities to events leaves out those that can't match."""
 
@@ -49,14 +54,24 @@ def cluster_articles(rows: DataFrame, window_hours: float = 72, threshold: float
     """rows (seq, article_id, category, source, t seconds, tokens, entities, weight) to (seq, cluster, is_new).
 
     Order matters, so each category (with scope=["category", "source"], each source's) is one ordered fold; an event
-    needs an entity in common, and only events within the window are compared.
+    needs an entity in common, and only events within the window are compared. A row without entities meets none and
+    is an event of its own, outside the fold.
     """
 
-    def fold(p: pd.DataFrame) -> pd.DataFrame:
-        events, out = Events(window_hours * 3600, threshold), []
-        for r in p.sort_values("seq").itertuples(index=False):
-            n, new = events.add(r.article_id, None if pd.isna(r.t) else float(r.t), set(r.tokens), set(r.entities), r.weight)
-            out.append((r.seq, "evc_" + "".join(c for c in events.events[n]["name"][-12:] if c.isascii() and c.isalnum() and not c.isupper()), new))
-        return pd.DataFrame(out, columns=["seq", "cluster", "is_new"])
+    keys = scope or ["category"]
+
+    def fold(batches):
+        at = events = None
+        for p in batches:
+            out = []
+            for r in p.itertuples(index=False):
+                if (k := tuple(getattr(r, c) for c in keys)) != at:
+                    at, events = k, Events(window_hours * 3600, threshold)
+                n, new = events.add(r.article_id, None if pd.isna(r.t) else float(r.t), set(r.tokens), set(r.entities), r.weight)
+                out.append((r.seq, cluster_name(events.events[n]["name"]), new))
+            yield pd.DataFrame(out, columns=["seq", "cluster", "is_new"])
 
-    return rows.groupBy(*(scope or ["category"])).applyInPandas(fold, SCHEMA)
+    met = F.size("entities") > 0
+    alone = rows.where(~met).select("seq", F.concat(F.lit("evc_"), F.regexp_replace(F.right("article_id", F.lit(12)), "[^a-z0-9]", "")).alias("cluster"), F.lit(True).alias("is_new"))
+    # sorted rows stream through a task, which keeps the events but never a group's rows
+    return rows.where(met).repartition(*keys).sortWithinPartitions(*keys, "seq").mapInPandas(fold, SCHEMA).unionByName(alone)
