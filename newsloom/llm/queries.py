@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import text
+from ..plans.scalars import PARTS, TRACK
 from ..tables import load
 from . import looks, near, packing, ranking, tokens, truncated
 
@@ -30,4 +32,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_groups": lambda s, d: looks.look_groups(load(s, d, "documents")),
 }
 
-ORACLES: dict[str, str] = {}
+_NUMBER = "({c} is not null and not isnan({c}))"
+
+
+def _order(c: str, seq: str = "article_seq") -> str:
+    n = _NUMBER.format(c=c)
+    return f"case when {n} then 1 else 0 end desc, case when {n} then {c} end desc, {seq}"
+
+
+_NAME = f"lower(regexp_replace(translate(source_name, '{(text.WIDE + text.DASHES).replace(chr(39), chr(39) * 2)}', '{(text.ASCII + '-' * len(text.DASHES)).replace(chr(39), chr(39) * 2)}'), '[\\s\\p{{Z}}]+|[\\x{{00AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'))"
+_TRUST = "case when isnan(source_trust) then null when source_trust > 1 then source_trust / 100 else source_trust end"
+_VOID = "coalesce(not regexp_matches(description, '[\\p{L}\\p{N}]') or lower(regexp_replace(description, '^\\s+|\\s+$', '', 'g')) in ('n/a', 'none', 'null', 'no description'), true)"
+_FIRST = f"order by {_TRUST} desc nulls last, epoch_us(try_cast(trim(first_seen_at) as timestamptz)) asc nulls last, article_seq"
+
+def _grams(table: str, seq: str) -> str:
+    """Each row's text and its different stretches of 5 characters."""
+    joined = "trim(regexp_replace(lower(coalesce(title_original, '') || ' ' || coalesce(description, '')), '[\\s\\x{0085}\\x{00A0}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ' ', 'g'))"
+    return f"select {seq} q, t, list_distinct(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5))) g from (select {seq}, {joined} t from {table}) where length(t) >= 5"
+
+
+_ALIKE = "common / cast(na + nb - common as double) >= 0.6"
+_KEY = """case when trim(coalesce(canonical_url, '')) <> '' then regexp_replace(lower(regexp_extract(trim(canonical_url), {p}, 2)), '^www\\.', '') || '|' || regexp_replace(regexp_extract(trim(canonical_url), {p}, 3), '/+$', '') || '?' ||
+ coalesce(array_to_string(list_sort(list_filter(list_transform(list_filter(string_split(regexp_extract(trim(canonical_url), {p}, 4), '&'), lambda x: x <> ''), lambda x: case when contains(x, '=') then x else x || '=' end),
+ lambda x: lower(string_split(x, '=')[1]) not in ({t}) and not starts_with(lower(x), 'utm_'))), '&'), '') end""".format(p=PARTS, t=TRACK)
+
+ORACLES: dict[str, str] = {
+    "p7_found": f"""with t as ({_grams('articles', 'article_seq')}), c as (select min(q) id, t, any_value(g) g from t group by t), x as (select id, len(g) n, unnest(g) u from c),
+p as (select a.id ia, b.id ib, a.n na, b.n nb, count(*) common from x a join x b on a.u = b.u and a.id < b.id and a.n >= 0.6 * b.n and b.n >= 0.6 * a.n group by all), m as (select q, id from t join c using (t))
+select least(a.q, b.q) as seq_a, greatest(a.q, b.q) as seq_b from p join m a on a.id = ia join m b on b.id = ib where {_ALIKE} union all select a.q, b.q from m a join m b on a.id = b.id and a.q < b.q""",
+    "p1_found": f"""with t as ({_grams('(select article_seq as q0, title_original, description from articles union all select incoming_seq + 1000000000000, title_original, description from incoming_articles)', 'q0')}),
+x as (select q, len(g) n, unnest(g) u from t), near as (select distinct b.q from (select a.q qa, b.q qb, a.n na, b.n nb, count(*) common from x a join x b on a.u = b.u and a.q < b.q and b.q > 1000000000000 and a.n >= 0.6 * b.n and b.n >= 0.6 * a.n group by all) r, lateral (select r.qb q) b where {_ALIKE}),
+k as (select article_seq q, {_KEY} k from articles union all select incoming_seq + 1000000000000, {_KEY} from incoming_articles), same as (select q from (select q, min(q) over (partition by k) f from k where k is not null) where q > f)
+select q - 1000000000000 as incoming_seq from (select q from near union select q from same) where q > 1000000000000""",
+    "p3_found": f"select article_seq from (select article_seq, row_number() over (partition by coalesce(ingestion_run_id, ''), k order by {_order('importance_score')}) r from (select *, {_NAME} k from articles) where k <> '') where r > 8",
+    "p4_found": f"select event_cluster_id, cast(pos as int) as pos, article_seq from (select event_cluster_id, article_seq, row_number() over (partition by event_cluster_id order by {_order('market_impact_score')}) pos from articles where regexp_matches(event_cluster_id, '[^\\s]')) where pos <= 3",
+    "p5_found": f"""with r as (select duplicate_group_id g, article_seq q, {_VOID} void, row_number() over (partition by duplicate_group_id {_FIRST}) p, count(*) over (partition by duplicate_group_id) n from articles where regexp_matches(duplicate_group_id, '[^\\s]'))
+select g as duplicate_group_id, min(case when p = 1 then q end) as survivor_seq, coalesce(arg_min(q, p) filter (where not void), 0) as description_seq from r where n > 1 group by g""",
+}
