@@ -7,6 +7,7 @@ import sys
 import types
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -53,13 +54,65 @@ class RankQueue:
         return rank, b
 
 
+class Known(dict):
+    """Ids, as bytes of 32-bit integers, of strings met before: made when missing and kept if short, up to REMEMBERED."""
+
+    def __init__(self, make, longest: int):
+        super().__init__()
+        self.make, self.longest = make, longest
+
+    def __missing__(self, s: str) -> bytes:
+        ids = self.make(s)
+        if len(s) <= self.longest:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[s] = ids
+        return ids
+
+
+class Seams(dict):
+    """Whether a token can reach over the seam between two characters of three bytes each; other seams always can."""
+
+    def __init__(self, ranks):
+        super().__init__()
+        self.over = {(t[max(0, o - 3) : o], t[o : o + 3]) for t in ranks if not t.isascii() for o in range(1, len(t))}
+
+    def __missing__(self, pair: str) -> bool:
+        a, b = (c.encode("utf-8", "replace") for c in pair)
+        # a token begins within the first character or covers it, and ends within the second or covers it
+        out = len(a) != 3 or len(b) != 3 or any((a[-i:], b[:j]) in self.over for i in (1, 2, 3) for j in (1, 2, 3))
+        if len(self) < 4 * REMEMBERED:
+            self[pair] = out
+        return out
+
+
 class Encoder:
-    """Byte-level BPE over ranks (bytes to id). encode() keeps the ids of pre-tokens it has met, up to REMEMBERED."""
+    """Byte-level BPE over ranks (bytes to id).
+
+    Texts are cut at single blanks between other characters, which always begin a pre-token, those pieces by the
+    pattern into pre-tokens, and these at seams that no token of the vocabulary reaches over; the ids of each piece
+    are remembered, so merges run on new ones only.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.split = ranks, regex.compile(PATTERN).findall
-        self.queue = RankQueue(max(ranks.values()) + 1)
-        self.known: dict[str, array] = {}
+        self.odd, self.blank = regex.compile(r" \s|\s ").search, regex.compile(r"(?<=\S) (?=\S)").split
+        self.queue, self.seams = RankQueue(max(ranks.values()) + 1), Seams(ranks)
+        self.parts = Known(lambda s: array("i", self.merge(s.encode("utf-8", "replace"))).tobytes(), 64)
+        self.words = Known(self.pieces, 24)
+        self.blank_words = Known(lambda s: self.pieces(" " + s), 24)
+
+    def pieces(self, text: str) -> bytes:
+        return b"".join([self.parts[x] if len(x) < 4 or x.isascii() else b"".join(map(self.parts.__getitem__, self.segments(x))) for x in self.split(text)])
+
+    def segments(self, x: str) -> list[str]:
+        seams, out, at = self.seams, [], 0
+        for i in range(1, len(x)):
+            if not seams[x[i - 1 : i + 1]]:
+                out.append(x[at:i])
+                at = i
+        out.append(x[at:])
+        return out
 
     def merge(self, raw: bytes) -> list[int]:
         """Ids of one pre-token: the waiting pair of lowest rank, leftmost first, is merged until none is left."""
@@ -100,18 +153,10 @@ class Encoder:
             i = after[i]
         return out
 
-    def encode(self, text: str) -> array:
-        known, out = self.known, array("i")
-        if len(known) > REMEMBERED:
-            known.clear()
-        for p in self.split(text):
-            ids = known.get(p)
-            if ids is None:
-                ids = array("i", self.merge(p.encode("utf-8", "replace")))
-                if len(p) < 64:
-                    known[p] = ids
-            out += ids
-        return out
+    def encode(self, text: str) -> bytes:
+        """The ids as bytes of 32-bit integers."""
+        first, *rest = self.blank(text) if self.odd(text) else text.split(" ")
+        return self.words[first] + b"".join(map(self.blank_words.__getitem__, rest))
 
 
 def read_ranks(path: str = VOCABULARY) -> bytes:
@@ -138,12 +183,9 @@ def token_ids(documents: DataFrame, vocabulary: str = VOCABULARY, text: str = "t
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                flat, ends = array("i"), array("i", [0])
-                for t in part.column(1).to_pylist():
-                    if t:
-                        flat += e.encode(t)
-                    ends.append(len(flat))
-                ids = pa.ListArray.from_arrays(pa.array(memoryview(ends), pa.int32()), pa.array(memoryview(flat), pa.int32()))
+                each = [e.encode(t) if t else b"" for t in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, each)], dtype=np.int64) // 4
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(each), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     return documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, "doc_id long, ids array<int>")
@@ -156,7 +198,7 @@ def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY, text: str =
     def count(batches):
         e = encoder(content)
         for b in batches:
-            n = [len(e.encode(t)) if t else 0 for t in (x.as_py() for x in b.column(1))]
+            n = [len(e.encode(t)) // 4 if t else 0 for t in (x.as_py() for x in b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32())], ["doc_id", "n_tokens"])
 
     return documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(count, "doc_id long, n_tokens int")
