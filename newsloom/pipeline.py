@@ -1,0 +1,43 @@
+"""One batch run: raw records to stored articles, and the store to a package."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import text, times
+from .operators import clustering, dedup, publishing, selecting
+from .operators.building import build_articles
+from .session import cut
+
+KEYS = ["canonical_hash", "title_hash", "content_hash"]
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def run(raw: DataFrame, sources: DataFrame, store: str, now: Column, run_id: str) -> tuple[DataFrame, dict]:
+    """(new articles, counts): builds, drops what the store has and what repeats within the batch in order of seq,
+    groups into events, appends by day. The same batch again adds nothing."""
+    spark = raw.sparkSession
+    made = cut(build_articles(raw, sources, now, run_id), "built")
+    fresh = dedup.known(made, spark.read.parquet(store).select(*KEYS), KEYS) if has_table(spark, store) else made
+    kept = dedup.first_wins(fresh.select("seq", "canonical_hash", "title_hash"), "seq", ["canonical_hash", "title_hash"])
+    new = fresh.join(kept, "seq", "left_semi")
+    rows = new.select("seq", "article_id", F.col("primary_category").alias("category"), F.unix_seconds(times.parse_iso(F.col("published_at_utc"))).cast("double").alias("t"), text.title_tokens(F.col("title_original")).alias("tokens"), F.col("countries").alias("entities"), (F.col("importance_score") + F.col("source_trust")).alias("weight"))
+    events = clustering.cluster_articles(rows).select("seq", F.col("cluster").alias("event_cluster_id"))
+    new = cut(new.join(events, "seq").withColumn("shard_date", F.coalesce("published_at_jst", F.substring("fetched_at_utc", 1, 10))), "new")
+    new.write.mode("append").partitionBy("shard_date").parquet(store)
+    fetched, added = made.count(), new.count()
+    return new, {"run_id": run_id, "fetched": fetched, "new": added, "duplicates": fetched - added, "date_inferred": new.where("date_inferred").count()}
+
+
+def package(articles: DataFrame, parts: dict[str, DataFrame], hot: int = 100, max_mb: float = 5) -> dict:
+    """The package of bounded lists: the capped selection of articles and the given parts, 100 rows each at most."""
+    scored = articles.select("article_seq", F.col("source_domain").alias("src"), F.coalesce(F.try_element_at("themes", F.lit(1)), F.col("primary_category")).alias("theme"), F.col("event_cluster_id").alias("cluster"), "importance_score")
+    best = selecting.select_diverse(scored, F.coalesce(F.nanvl("importance_score", F.lit(0.0)), F.lit(0.0)), hot, max_source_share=0.20)
+    view = best.join(articles.select("article_seq", "article_id", "title_original", "source_name", "canonical_url"), "article_seq").orderBy("rank")
+    out: dict = {k: [] for k in publishing.KEYS} | {k: publishing.rows(v, 100) for k, v in parts.items()}
+    return publishing.trimmed(out | {"hot_articles": publishing.rows(view, hot)}, max_mb)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import private
+from .. import pipeline
+from ..operators import building, private
 from ..sources import apis, feeds
 from ..tables import load
-from .common import Registry
+from . import rollups, store
+from .common import Registry, now_column
+from .scalars import SQL_HOST, sql_norm
 
 query = Registry()
 _DT = "case article_seq % 4 when 0 then '120' when 1 then '350' when 2 then '180' else '999' end"
@@ -94,3 +97,21 @@ def resubmissions(s, d):
 @query("pending_records", "select article_seq from articles where classification_status in ('pending', 'error')")
 def pending_records(s, d):
     return load(s, d, "articles").where(F.col("classification_status").isin("pending", "error")).select("article_seq")
+
+
+_HEAD = f"select article_seq as seq, {SQL_HOST} as source_domain, substr(coalesce(description, ''), 1, 200) as public_excerpt, coalesce(description, '') <> '' as body_available, sha256({sql_norm('title_original')}) as title_hash from articles"
+
+
+@query("build_articles", _HEAD.replace(SQL_HOST, f"coalesce({SQL_HOST}, '')"))
+def build_articles(s, d):
+    """The whole chain over the store's rows as raw records; the parts that one SQL can restate are compared."""
+    raw = load(s, d, "articles").select(F.col("article_seq").alias("seq"), F.lit("").alias("source_id"), F.col("title_original").alias("title"), F.col("canonical_url").alias("url"), "description", "published_at_utc", F.col("raw_published_at").alias("published_raw"))
+    return building.build_articles(raw, load(s, d, "sources"), now_column()).select("seq", "source_domain", "public_excerpt", "body_available", "title_hash")
+
+
+@query("published_package")
+def published_package(s, d):
+    """Item counts of the package built from the tables."""
+    parts = {"theme_summary": rollups.theme_summary(s, d), "global_drivers": rollups.global_drivers(s, d), "risk_radar": rollups.risk_radar(s, d), "market_reactions": rollups.reaction_view(s, d), "event_clusters": rollups.event_clusters(s, d), "source_health": store.source_health(s, d), "tank_status": store.tank_status(s, d), "quality_metrics": rollups.quality_metrics(s, d)}
+    p = pipeline.package(load(s, d, "articles"), parts)
+    return s.createDataFrame([(k, len(v)) for k, v in sorted(p.items())], "part string, items int")
