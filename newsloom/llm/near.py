@@ -15,8 +15,8 @@ from .components import representatives
 from .signatures import FUNCTIONS, checked, forest, neighbours
 
 ALIKE = 0.60
-TREES = 32
-PROBE_TREES = 20
+TREES = 40
+PROBE_TREES = 32
 FIT_PAIRS = 4096
 FRESH = 1 << 40
 
