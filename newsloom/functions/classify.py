@@ -83,12 +83,12 @@ def pattern(keyword: str) -> str:
     return "".join("\\" + c if c in special else c for c in keyword)
 
 
-def keyword_in(text: Column, lowered: Column, keyword: str) -> Column:
-    """An ASCII keyword as a whole word in any case, another one as it stands anywhere. A plain search goes first, so
-    the pattern is tried on the few texts that have the letters."""
+def keyword_in(keyword: str) -> str:
+    """SQL over (text, lowered): an ASCII keyword as a whole word in any case, another one as it stands anywhere. A
+    plain search goes first, so the pattern is tried on the few texts that have the letters."""
     if not keyword.isascii():
-        return text.contains(keyword)
-    return lowered.contains(keyword.lower()) & lowered.rlike(f"(^|{_EDGE}){pattern(keyword.lower())}({_EDGE}|$)")
+        return f"contains(text, r'{keyword}')"
+    return f"contains(lowered, r'{keyword.lower()}') and lowered rlike r'(^|{_EDGE}){pattern(keyword.lower())}({_EDGE}|$)'"
 
 
 def with_text(df: DataFrame, title: str = "title_original", description: str = "description") -> DataFrame:
@@ -97,10 +97,11 @@ def with_text(df: DataFrame, title: str = "title_original", description: str = "
     return df.withColumn("text", text).withColumn("lowered", F.lower("text"))
 
 
-def category_hits(text: Column, low: Column, keywords: dict[str, list[str]] | None = None) -> Column:
-    """array(struct(minus hits, category)), best first: the different keywords of each category that occur."""
-    entries = [F.struct((-sum((keyword_in(text, low, k).cast("int") for k in words), F.lit(0))).alias("m"), F.lit(c).alias("c")) for c, words in (keywords or CATEGORY_KEYWORDS).items()]
-    return F.array_sort(F.filter(F.array(*entries), lambda e: e["m"] < 0))
+def category_hits(keywords: dict[str, list[str]] | None = None) -> Column:
+    """array(struct(minus hits, category)) over the columns of with_text, best first: the different keywords of each
+    category that occur. Keywords are configuration and hold no quotes."""
+    entries = ", ".join(f"named_struct('m', -({' + '.join(f'int({keyword_in(k)})' for k in words) or '0'}), 'c', '{c}')" for c, words in (keywords or CATEGORY_KEYWORDS).items())
+    return F.expr(f"array_sort(filter(array({entries}), e -> e.m < 0))")
 
 
 def classified(hits: Column) -> Column:

@@ -25,7 +25,7 @@ def build_articles(raw: DataFrame, sources: DataFrame, now: Column, run_id: str
     fetched = F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     x = raw.select("seq", "source_id", some("title").alias("title_original"), some("url").alias("normalized_url"), canonical.alias("canonical_url"), url.host_of(F.col("url")).alias("source_domain"), some("description").alias("description"), times.sanitize_published(F.col("published_at_utc"), F.col("published_raw"), fetched, now).alias("d"))
     x = x.join(cat, "source_id", "left").withColumn("published", times.parse_iso(F.col("d.published")))
-    x = classify.with_text(x).withColumn("c", classify.classified(classify.category_hits(F.col("text"), F.col("lowered"), keywords)))
+    x = classify.with_text(x).withColumn("c", classify.classified(classify.category_hits(keywords)))
     x = x.withColumn("g", scoring.signals(F.col("title_original"), F.col("c.primary"), F.col("c.themes"), F.coalesce("s.trust", F.lit(0.5))))
     return x.select(
         "seq", "source_id", text.article_id(F.col("canonical_url")).alias("article_id"), "canonical_url", "normalized_url", F.coalesce("s.name", F.lit("")).alias("source_name"), "source_domain", F.coalesce("s.trust", F.lit(0.5)).alias("source_trust"),

@@ -167,7 +167,7 @@ select article_seq, coalesce(c[1], 'uncategorized') as category, array_to_string
 
 
 def _classify(s, d, words):
-    x = classify.with_text(load(s, d, "articles")).select("article_seq", classify.classified(classify.category_hits(F.col("text"), F.col("lowered"), words)).alias("x"))
+    x = classify.with_text(load(s, d, "articles")).select("article_seq", classify.classified(classify.category_hits(words)).alias("x"))
     return x.select("article_seq", F.col("x.primary").alias("category"), F.array_join("x.secondary", ",").alias("secondary"), F.array_join("x.themes", ",").alias("themes"))
 
 

@@ -57,7 +57,7 @@ def test_dates(spark):
 
 def test_classify(spark):
     df = spark.createDataFrame([("Iran sanctions", "oil prices and Oil Prices"), ("生成AI市場", ""), ("mermaid AIRPORT", None), (None, None)], "title_original string, description string")
-    got = [r[0] for r in classify.with_text(df).select(classify.classified(classify.category_hits(F.col("text"), F.col("lowered")))).collect()]
+    got = [r[0] for r in classify.with_text(df).select(classify.classified(classify.category_hits())).collect()]
     assert got[0].primary == "oil" or set(got[0].themes) == {"oil", "sanctions", "us_iran_middle_east"}
     assert got[1].themes == ["ai"] and got[2].primary == got[3].primary == "uncategorized"
     assert col(spark, ["Board approves share buyback", "増資のお知らせ", "hello", None], lambda c: classify.disclosure(c)["kind"]) == ["buyback", "financing", "other", "other"]
