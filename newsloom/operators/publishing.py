@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame
 
-KEYS = ("tank_status", "hot_articles", "global_drivers", "risk_radar", "theme_summary", "market_reactions", "event_clusters", "historical_matches", "source_health", "quality_metrics")
+KEYS = ("store_status", "hot_articles", "global_drivers", "risk_radar", "theme_summary", "market_reactions", "event_clusters", "historical_matches", "source_health", "quality_metrics")
 TRIMMED = ("hot_articles", "theme_summary", "historical_matches", "event_clusters")
 
 

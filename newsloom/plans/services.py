@@ -112,6 +112,6 @@ def build_articles(s, d):
 @query("published_package")
 def published_package(s, d):
     """Item counts of the package built from the tables."""
-    parts = {"theme_summary": rollups.theme_summary(s, d), "global_drivers": rollups.global_drivers(s, d), "risk_radar": rollups.risk_radar(s, d), "market_reactions": rollups.reaction_view(s, d), "event_clusters": rollups.event_clusters(s, d), "source_health": store.source_health(s, d), "tank_status": store.tank_status(s, d), "quality_metrics": rollups.quality_metrics(s, d)}
+    parts = {"theme_summary": rollups.theme_summary(s, d), "global_drivers": rollups.global_drivers(s, d), "risk_radar": rollups.risk_radar(s, d), "market_reactions": rollups.reaction_view(s, d), "event_clusters": rollups.event_clusters(s, d), "source_health": store.source_health(s, d), "store_status": store.store_status(s, d), "quality_metrics": rollups.quality_metrics(s, d)}
     p = pipeline.package(load(s, d, "articles"), parts)
     return s.createDataFrame([(k, len(v)) for k, v in sorted(p.items())], "part string, items int")

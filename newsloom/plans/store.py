@@ -80,8 +80,8 @@ def upsert_incoming(s, d):
     return load(s, d, "articles").select("article_id", F.col("article_seq").alias("r")).unionByName(new).groupBy("article_id").agg(F.max("r").alias("row_no"), F.count("*").alias("deliveries"))
 
 
-@query("tank_status", "select count(*) as articles, count_if(fetched_at_utc >= '2026-07-10') as new_articles, count(distinct source_domain) as domains, max(published_at_utc) as latest from articles")
-def tank_status(s, d):
+@query("store_status", "select count(*) as articles, count_if(fetched_at_utc >= '2026-07-10') as new_articles, count(distinct source_domain) as domains, max(published_at_utc) as latest from articles")
+def store_status(s, d):
     return load(s, d, "articles").agg(F.count("*").alias("articles"), F.count_if(F.col("fetched_at_utc") >= "2026-07-10").alias("new_articles"), F.count_distinct("source_domain").alias("domains"), F.max("published_at_utc").alias("latest"))
 
 
