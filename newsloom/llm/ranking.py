@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,15 @@ def write_clustered(df: DataFrame, group: Column, score: Column, seq: Column, ro
     return path
 
 
+def open_parquet(uri: str) -> pq.ParquetFile:
+    """A file of the shared folder, wherever that is."""
+    path = local(uri)
+    if "://" not in path:
+        return pq.ParquetFile(path)
+    fs, path = FileSystem.from_uri(path)
+    return pq.ParquetFile(path, filesystem=fs)
+
+
 def row_group_statistics(spark, path: str) -> DataFrame:
     """One row per row group, from the files' footers: file, number, rows, first and last group, highest and lowest score."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
@@ -43,7 +53,7 @@ def row_group_statistics(spark, path: str) -> DataFrame:
         for b in batches:
             out = []
             for f in b.column(0).to_pylist():
-                meta = pq.read_metadata(local(f))
+                meta = open_parquet(f).metadata
                 at = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
                 for k in range(meta.num_row_groups):
                     rg = meta.row_group(k)
@@ -78,7 +88,7 @@ def top_n(spark, path: str, n: int) -> DataFrame:
     def read(batches):
         for b in batches:
             for f, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                t = pq.ParquetFile(local(f)).read_row_group(k, columns=["g", "ok", "s", "q"])
+                t = open_parquet(f).read_row_group(k, columns=["g", "ok", "s", "q"])
                 g = t.column("g").combine_chunks()  # in order already: a row goes where the n-th before it has its group
                 if len(t) > n:
                     first = pa.array([True] * n)
