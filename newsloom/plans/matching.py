@@ -133,15 +133,16 @@ def source_cap_top(s, d):
 
 @query("event_clustering")
 def event_clustering(s, d):
-    """Order decides; tests hold it against a plain reader. Scope: category and source, as when batches are applied."""
+    """Order decides; tests hold it against a plain reader. Scope: the category, over all sources. An article looks for
+    its countries, companies and actors among an event's countries and actors."""
     a = load(s, d, "articles")
     t = times.parse_iso(F.col("published_at_utc"))
     rows = a.select(
         F.col("article_seq").alias("seq"), F.coalesce("article_id", F.lit("")).alias("article_id"), F.coalesce("primary_category", F.lit("")).alias("category"), F.coalesce("source_domain", F.lit("")).alias("source"),
-        F.unix_seconds(t).cast("double").alias("t"), text.title_tokens(F.col("title_original")).alias("tokens"), history.entities("companies", "commodities", "geopolitical_entities").alias("entities"),
+        F.unix_seconds(t).cast("double").alias("t"), text.title_tokens(F.col("title_original")).alias("tokens"), history.entities("countries", "companies", "geopolitical_entities").alias("entities"), history.entities("countries", "geopolitical_entities").alias("marks"),
         (number(F.col("importance_score")) + number(F.col("source_trust"))).alias("weight"),
     )
-    return clustering.cluster_articles(rows, scope=["category", "source"])
+    return clustering.cluster_articles(rows, scope=["category"])
 
 
 @query("escalation", "select event_cluster_id, case when n >= 5 then 'escalating' when n <= 1 then 'steady' else 'unchanged' end as status from (select event_cluster_id, count(distinct article_id) n from articles where event_cluster_id <> '' group by 1)")

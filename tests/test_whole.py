@@ -30,3 +30,32 @@ def test_historical_matches_has_countries_and_undated_queries(spark, tmp_path):
         want |= {(i, j): (k, -s) for k, (s, j) in enumerate(sorted(found)[:20], 1)}
     got = {(x.cur, x.old): (x.rank, round(x.relevance * 1e4)) for x in matching.historical_matches(spark, d).collect()}
     assert got == want and any(i % 80 == 0 for i, _ in got)
+
+
+def test_event_clustering_over_all_sources(spark, tmp_path):
+    r, start = random.Random(6), datetime(2026, 7, 1, tzinfo=timezone.utc)
+    words = [f"w{i}" for i in range(25)]
+    rows = []
+    for i in range(700):
+        t = "" if i % 40 == 0 else (start + timedelta(hours=r.randint(0, 900))).isoformat()
+        sets = [[r.choice(names) for _ in range(r.randint(0, n))] for names, n in ((["US", "JP", "FR"], 1), (["Acme", "Bolt", "actor1"], 1), (["oil", "gold"], 2), (["actor1", "actor2"], 1))]
+        rows.append((i, f"art_{i:020d}", "k" + str(i % 2), f"s{i % 5}", t, " ".join(r.sample(words, r.randint(1, 7))), *sets, r.choice([0.1, 0.5, 0.9]), 0.5))
+    d = write(spark, tmp_path, "articles", rows, "article_seq long, article_id string, primary_category string, source_domain string, published_at_utc string, title_original string, countries array<string>, companies array<string>, commodities array<string>, geopolitical_entities array<string>, importance_score double, source_trust double")
+    events, want = [], {}
+    for i, name, category, _, t, title, countries, companies, _, actors, weight, trust in rows:
+        at, tokens, best = datetime.fromisoformat(t) if t else None, set(title.split()), None
+        for ev in events:
+            seen = set().union(*(x[3] for x in sorted(ev["rows"], key=lambda x: x[:3])[:3]))
+            like = len(tokens & seen) / len(tokens | seen)
+            apart = at and ev["last"] and abs(at - ev["last"]) > timedelta(hours=72)
+            if ev["category"] == category and ev["marks"] & {*countries, *companies, *actors} and not apart and like >= 0.2 and (not best or like > best[0]):
+                best = like, ev
+        if not best:
+            events.append({"category": category, "marks": set(), "last": None, "rows": [], "name": "evc_" + name[-12:]})
+        ev = best[1] if best else events[-1]
+        ev["marks"] |= {*countries, *actors}
+        ev["last"] = max(filter(None, (ev["last"], at)), default=None)
+        ev["rows"].append((-(weight + trust), at.timestamp() if at else float("-inf"), name, tokens))
+        want[i] = ev["name"], not best
+    got = {x.seq: (x.cluster, x.is_new) for x in matching.event_clustering(spark, d).collect()}
+    assert got == want and sum(new for _, new in want.values()) < 600
