@@ -1,4 +1,4 @@
-"""Sketches of texts and the sorted orders of an LSH forest."""
+"""Sketches of texts and the regions of an LSH forest."""
 
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 SHINGLE = 5
 FUNCTIONS = 64
 DEPTH = 4
-NEIGHBOURS = 48
-LEAST_MATCHES = 36
+LEAST_MATCHES = 32  # of a pair alike by just 0.60 that shares a region, fewer than one in 20,000 has less
 _U = np.uint64
 
 
@@ -62,10 +61,10 @@ def minhashes(texts: list[str], mul: np.ndarray, xor: np.ndarray) -> tuple[np.nd
 
 
 def forest(texts: DataFrame, trees: int) -> DataFrame:
-    """texts (id, text) to the rows of the forest's trees: (k, tail, id, w1, w2, n).
+    """texts (id, text) to the rows of the forest's trees: (k, id, w1, w2, n).
 
-    k is the tree with its first DEPTH values, tail the next values of the tree's order at two bits each, w1 and w2
-    two bits of every value, n the number of stretches. Texts under 5 characters are in no tree.
+    k is the tree with its first DEPTH values, w1 and w2 two bits of every value, n the number of stretches. Texts
+    under 5 characters are in no tree.
     """
     mul, xor, perm = _constants(trees)
 
@@ -82,53 +81,52 @@ def forest(texts: DataFrame, trees: int) -> DataFrame:
                 big = sig.astype(np.uint64)
                 m = len(at)
                 k = np.empty((trees, m), np.uint64)
-                tail = np.zeros((trees, m), np.uint64)
                 for t in range(trees):
                     x = np.full(m, t + 1, np.uint64)
                     for f in perm[t, :DEPTH]:
                         x = _mix(x * _U(0x9E3779B97F4A7C15) + big[:, f])
                     k[t] = x
-                    for f in perm[t, DEPTH : DEPTH + 15]:
-                        tail[t] = (tail[t] << _U(2)) | sym[:, f]
                 tiled = lambda x: pa.array(np.tile(x, trees))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k.ravel().view(np.int64)), pa.array(tail.ravel().astype(np.int32)), tiled(ids[lo : lo + 500][at]), tiled(w1.view(np.int64)), tiled(w2.view(np.int64)), tiled(n.astype(np.int32))],
-                    ["k", "tail", "id", "w1", "w2", "n"],
+                    [pa.array(k.ravel().view(np.int64)), tiled(ids[lo : lo + 500][at]), tiled(w1.view(np.int64)), tiled(w2.view(np.int64)), tiled(n.astype(np.int32))],
+                    ["k", "id", "w1", "w2", "n"],
                 )
 
-    return texts.select("id", "text").mapInArrow(rows, "k long, tail int, id long, w1 long, w2 long, n int")
+    return texts.select("id", "text").mapInArrow(rows, "k long, id long, w1 long, w2 long, n int")
 
 
 def neighbours(rows: DataFrame, alike: float, fresh: bool = False) -> DataFrame:
-    """Candidates (a, b, m), a < b, m the matching values of the sketches, from the sorted orders of all trees.
+    """Candidates (a, b, m), a < b, m the matching values of the sketches, from the regions of all trees.
 
-    In each order a row meets the up to NEIGHBOURS rows before it that share its first DEPTH values: all of a sparse
-    region, and in a dense one those with the longest common prefix, as far down as the region is dense. Rows stream
-    in sorted order, so a region of any size takes bounded memory and time in proportion to its rows. fresh: only
-    pairs of which one id is odd.
+    A region is the rows of a tree that share its first DEPTH values. Every two rows of a region are compared, however
+    many it has; its rows' sketches, 36 bytes each, are kept until it ends. fresh: only pairs of which one id is odd;
+    odd ids come first in a region and only they are kept.
     """
-    names = ["k", "tail", "id", "w1", "w2", "n"]
 
     def near(batches):
-        carry = None
+        carry = None  # the last region's rows that later ones meet
+        pairs: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for b in batches:
             if not b.num_rows:
                 continue
-            new = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            new = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
             old = 0 if carry is None else len(carry[0])
             cols = new if carry is None else [np.concatenate(x) for x in zip(carry, new)]
-            k, _, ids, w1, w2, n = cols
+            k, ids, w1, w2, n = cols
             w1, w2 = w1.view(np.uint64), w2.view(np.uint64)
+            begins = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+            start = np.repeat(begins, np.diff(np.concatenate((begins, [len(k)]))))
             live = np.arange(old, len(k))
-            for w in range(1, NEIGHBOURS + 1):
-                live = live[live >= w]
-                live = live[k[live] == k[live - w]]
+            v = 0
+            while True:  # each row and the v-th of its region
+                live = live[start[live] + v < live]
+                if fresh:
+                    live = live[(ids[start[live] + v] & 1) == 1]
                 if not len(live):
                     break
-                i, j = live, live - w
-                if fresh:
-                    odd = ((ids[i] | ids[j]) & 1) == 1
-                    i, j = i[odd], j[odd]
+                i, j = live, start[live] + v
+                v += 1
                 sized = np.minimum(n[i], n[j]) >= 0.5 * alike * np.maximum(n[i], n[j])
                 i, j = i[sized], j[sized]
                 off = np.zeros(len(i), np.int32)
@@ -138,10 +136,23 @@ def neighbours(rows: DataFrame, alike: float, fresh: bool = False) -> DataFrame:
                 ok = FUNCTIONS - off >= LEAST_MATCHES
                 if ok.any():
                     x, y = ids[i[ok]], ids[j[ok]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array((FUNCTIONS - off[ok]).astype(np.int32))], ["a", "b", "m"])
-            carry = [c[-NEIGHBOURS:].copy() for c in cols]
-
-    spread = rows.repartition("k").sortWithinPartitions("k", "tail", "id")
+                    pairs.append((np.minimum(x, y), np.maximum(x, y), (FUNCTIONS - off[ok]).astype(np.int32)))
+                    held += len(x)
+                    if held > 100_000:
+                        yield batch(pairs)
+                        pairs, held = [], 0
+            last = slice(int(start[-1]), None)
+            carry = [c[last].copy() for c in cols]
+            if fresh:
+                odd = (carry[1] & 1) == 1
+                carry = [c[odd] for c in carry]
+        if pairs:
+            yield batch(pairs)
+
+    def batch(pairs):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*pairs)], ["a", "b", "m"])
+
+    spread = rows.select("k", "id", "w1", "w2", "n").repartition("k").sortWithinPartitions("k", (F.col("id") % 2).desc() if fresh else "id")
     return spread.mapInArrow(near, "a long, b long, m int").where("a <> b").distinct()
 
 
