@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import joined_text
 from ..functions.url import address_key
 from ..session import cut
-from .components import representatives
+from .components import merge_representatives, representatives
 from .signatures import FUNCTIONS, checked, forest, neighbours
 
 ALIKE = 0.60
@@ -120,10 +120,16 @@ def learned(sample: list[tuple[int, float, bool]]) -> np.ndarray:
 
 def probe(history: History, incoming: DataFrame, trees: int = PROBE_TREES, alike: float = ALIKE, floor: float = 1e-4) -> DataFrame:
     """incoming (row, url, text), row at least FRESH and rising with arrival, to links (row, kind, first): for every
-    incoming row the earliest delivery before it, of the store or incoming, by each kind: address, text, near.
+    incoming row the earliest delivery before it, of the store or incoming, by each kind: address, text, near."""
+    return probed(history, incoming, trees, alike, floor)[0]
 
-    Only the incoming rows' sketches are made; the store's are probed by their keys. Of the candidates those whose
-    learned score is at least `floor` are checked exactly.
+
+def probed(history: History, incoming: DataFrame, trees: int = PROBE_TREES, alike: float = ALIKE, floor: float = 1e-4, store: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What probe gives, and all links (a, b, new) between different texts that are alike, as their classes' earliest
+    deliveries; new: one of them is incoming. store: links within the store as well.
+
+    Only the incoming rows' sketches are made; the store's are probed by their keys. Of the candidates with an
+    incoming text those whose learned score is at least `floor` are checked exactly, of the store's own all.
     """
     new = cut(incoming, "incoming")
     url = new.select("row", address_key(F.col("url")).alias("key")).dropna()
@@ -138,24 +144,32 @@ def probe(history: History, incoming: DataFrame, trees: int = PROBE_TREES, alike
 
     unknown = mine.where("id is not null").select("id", "text")  # copies of the store's texts are known already
     keys = history.keys.unionByName(forest(unknown, trees))
-    found = cut(neighbours(keys, alike, fresh=True), "candidates")
+    found = cut(neighbours(keys, alike, fresh=not store), "candidates")
     texts = history.texts.select((F.col("first") * 2).alias("id"), "text").unionByName(unknown)
     sized = texts.select("id", F.length("text").alias("len"))
     scored = found.join(sized.select(F.col("id").alias("a"), F.col("len").alias("la")), "a").join(sized.select(F.col("id").alias("b"), F.col("len").alias("lb")), "b")
     scored = scored.select("a", "b", "m", (F.least("la", "lb") / F.greatest("la", "lb")).alias("ratio"))
-    part = cut(scored.orderBy(F.xxhash64("a", "b")).limit(FIT_PAIRS), "fit")
+    odd = lambda c: (F.col(c) % 2) == 1
+    part = cut(scored.where(odd("a") | odd("b")).orderBy(F.xxhash64("a", "b")).limit(FIT_PAIRS), "fit")
     good = checked(part.select("a", "b"), texts, alike).withColumn("y", F.lit(True))
     w = learned([(r["m"], r["ratio"], bool(r["y"])) for r in part.join(good, ["a", "b"], "left").collect()])
     score = F.lit(float(w[0])) * F.col("m") / FUNCTIONS + F.lit(float(w[1])) * F.col("ratio") + F.lit(float(w[2]))
-    likely = scored.where(score >= float(np.log(floor / (1 - floor)))) if w.any() else scored
-    links = checked(likely.select("a", "b"), texts, alike)
+    likely = scored.where(~(odd("a") | odd("b")) | (score >= float(np.log(floor / (1 - floor))))) if w.any() else scored
+    links = cut(checked(likely.select("a", "b"), texts, alike), "near")
 
-    odd = lambda c: (F.col(c) % 2) == 1
     first_of = lambda c: F.floor(F.col(c) / 2).cast("bigint")  # noqa: E731  the class's earliest delivery
     ways = links.where(odd("a")).select(F.col("a").alias("id"), first_of("b").alias("other")).unionByName(links.where(odd("b")).select(F.col("b").alias("id"), first_of("a").alias("other")))
     ways = ways.groupBy("id").agg(F.min("other").alias("first"))
     by_near = hashed.select("row", "h1", "h2").join(mine.select("h1", "h2", "id"), ["h1", "h2"]).join(ways, "id").where("first < row").select("row", F.lit("near").alias("kind"), "first")
-    return reduce(DataFrame.unionByName, (by_url, by_text, by_near))
+    every = links.select(first_of("a").alias("a"), first_of("b").alias("b"), (odd("a") | odd("b")).alias("new"))
+    return reduce(DataFrame.unionByName, (by_url, by_text, by_near)), every
+
+
+def store_copies(history: History, rows: DataFrame) -> DataFrame:
+    """Links (a, b) of the store's rows (row, url, text) to the earliest of the same address and of the same text."""
+    url = rows.select("row", address_key(F.col("url")).alias("key")).join(history.addresses, "key")
+    text = rows.where(F.length("text") >= 5).select("row", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")).join(history.texts.select("h1", "h2", "first"), ["h1", "h2"])
+    return url.select("row", "first").unionByName(text.select("row", "first")).where("first < row").select(F.col("row").alias("a"), F.col("first").alias("b"))
 
 
 def store_rows(articles: DataFrame) -> DataFrame:
@@ -178,7 +192,17 @@ def p1_found(articles: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def p1_clusters(articles: DataFrame, incoming: DataFrame) -> DataFrame:
     """(incoming_seq, known_as): each known incoming row's representative, as its earliest delivery reached by links:
-    the row number in the store, or minus the number of arrival."""
-    reps = representatives(p1_links(articles, incoming).select(F.col("row").alias("a"), F.col("first").alias("b")))
+    the row number in the store, or minus the number of arrival.
+
+    The store's own clusters come first; the links of all new batches then merge those that they touch. The clusters
+    are those of batch after batch, since either way every link counts.
+    """
+    rows = store_rows(articles)
+    history = History.of(rows)
+    first, near = probed(history, incoming_rows(incoming), store=True)
+    first = cut(first, "first")
+    known = cut(representatives(store_copies(history, rows).unionByName(near.where("not new").select("a", "b"))), "known")
+    merged = merge_representatives(known, first.select(F.col("row").alias("a"), F.col("first").alias("b")).unionByName(near.where("new").select("a", "b")))
     named = F.when(F.col("rep") >= FRESH, FRESH - F.col("rep")).otherwise(F.col("rep"))
-    return reps.where(F.col("id") >= FRESH).where("id <> rep").select((F.col("id") - FRESH).alias("incoming_seq"), named.alias("known_as"))
+    mine = merged.join(first.select(F.col("row").alias("id")).distinct(), "id", "left_semi")
+    return mine.select((F.col("id") - FRESH).alias("incoming_seq"), named.alias("known_as"))
