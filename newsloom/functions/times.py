@@ -1,10 +1,17 @@
-"""Time expressions on the JVM side; every `now` is a parameter."""
+"""Time expressions on the JVM side, and a reader of feeds' dates; every `now` is a parameter."""
 
 from __future__ import annotations
 
+import math
+import re
+from datetime import datetime, timezone
+from email.utils import parsedate_to_datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+ISO = re.compile(r"\d{4}(-\d{2}-\d{2}|\d{4})([T ]|$)")
+
 
 def parse_iso(c: Column) -> Column:
     """ISO 8601 text as a timestamp, UTC where it names no offset; null where it is none."""
@@ -36,6 +43,16 @@ def parse_feed_date(c: Column) -> Column:
     return F.coalesce(parse_iso(c), F.try_to_timestamp(x, F.lit("d MMM yyyy HH:mm:ss xx")), F.try_to_timestamp(x, F.lit("d MMM yyyy HH:mm xx")))
 
 
+def read_feed_date(value: str | None) -> int | None:
+    """ISO, else RFC 822 with whatever feeds make of it, in seconds, UTC where it names no zone; None where it is neither."""
+    x = (value or "").strip()
+    try:
+        t = datetime.fromisoformat(x.replace("Z", "+00:00").replace("z", "+00:00")) if ISO.match(x) else parsedate_to_datetime(x)
+        return math.floor((t if t.tzinfo else t.replace(tzinfo=timezone.utc)).timestamp())
+    except (TypeError, ValueError, IndexError, OverflowError):
+        return None
+
+
 def sanitize_published(parsed: Column, raw: Column, fetched: Column, now: Column, max_future_hours: int = 24, max_age_years: int = 20) -> Column:
     """struct(published, inferred, raw, anomaly): a missing, unreadable, future or too old time gives way to the fetch."""
     t = parse_iso(parsed)

@@ -3,7 +3,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
-from newsloom.plans import matching
+from newsloom.plans import matching, scalars
 
 
 def write(spark, folder, name, rows, schema):
@@ -59,3 +59,11 @@ def test_event_clustering_over_all_sources(spark, tmp_path):
         want[i] = ev["name"], not best
     got = {x.seq: (x.cluster, x.is_new) for x in matching.event_clustering(spark, d).collect()}
     assert got == want and sum(new for _, new in want.values()) < 600
+
+
+def test_feed_dates_reads_every_row(spark, tmp_path):
+    at = 1753979547  # 2025-07-31T16:32:27Z
+    known = {"Thu, 31 Jul 2025 16:32:27 GMT": at, " Thu, 31 Jul 2025 11:32:27 -0500": at, "Thursday, 31 Jul 2025 16:32:27 +0000": at, "31 Jul 2025 16:32:27 GMT": at, "2025-07-31T16:32:27Z": at, "2025-07-31T18:32:27.199283160+02:00": at, "20250731T163227Z": at,
+             "2025-07-31 16:32:27": at, "Thursday, 31-Jul-25 16:32:27 GMT": at, "Thu Jul 31 16:32:27 2025": at, "31 Jul 25 11:32 CDT": at - 27, "yesterday": None, "1712011512304": None, "": None, None: None}
+    d = write(spark, tmp_path, "articles", list(enumerate(known)), "article_seq long, raw_published_at string")
+    assert {x.article_seq: x.published for x in scalars.feed_dates(spark, d).collect()} == dict(enumerate(known.values()))
