@@ -3,7 +3,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
-from newsloom.plans import matching, scalars
+from newsloom.plans import matching, rollups, scalars
 
 
 def write(spark, folder, name, rows, schema):
@@ -67,3 +67,9 @@ def test_feed_dates_reads_every_row(spark, tmp_path):
              "2025-07-31 16:32:27": at, "Thursday, 31-Jul-25 16:32:27 GMT": at, "Thu Jul 31 16:32:27 2025": at, "31 Jul 25 11:32 CDT": at - 27, "yesterday": None, "1712011512304": None, "": None, None: None}
     d = write(spark, tmp_path, "articles", list(enumerate(known)), "article_seq long, raw_published_at string")
     assert {x.article_seq: x.published for x in scalars.feed_dates(spark, d).collect()} == dict(enumerate(known.values()))
+
+
+def test_per_source_stats_counts_every_spelling(spark, tmp_path):
+    rows = [("r1", "BBC News", "success", 5, 2), ("r2", "ＢＢＣ\u3000Ｎｅｗｓ", "failed", 7, 1), ("r3", "bbc\u2009ne\u200bws", "success", 1, None), ("r4", None, "failed", 3, 3), ("r5", "\u3000", "success", 1, 0), ("r5", "\u3000", "success", 1, 0)]
+    d = write(spark, tmp_path, "source_results", rows, "run_id string, source string, status string, fetched int, new_items int")
+    assert {tuple(x) for x in rollups.per_source_stats(spark, d).collect()} == {("bbcnews", 3, 13, 3, 1), ("", 2, 4, 3, 1)}
