@@ -70,18 +70,20 @@ def last_contexts(text: str) -> tuple[str, str]:
     return f"{w[0]} {w[1]} {w[2]}", f"{w[1]} {w[2]}"
 
 
-NO, CUT, OPEN = 0, 1, 2
+NO, CUT, OPEN, STOPPED = 0, 1, 2, 3
 
 
 def verdict(text: str, title: str, limit: int) -> tuple[int, str]:
-    """NO, CUT or OPEN, and what is left without a tail: from the value itself."""
+    """NO, CUT, OPEN or, at an end of sentence, STOPPED, and what is left without a tail: from the value itself."""
     if not text or is_void(text):
         return NO, text
     if MARK.search(text) or BROKEN.search(text):
         return CUT, text
     core = TAIL.sub("", text) or text
-    if ENDED.search(core) or core == title:
+    if core == title:
         return NO, core
+    if ENDED.search(core):
+        return STOPPED, text  # with its tail, else it would continue in itself
     if MARK.search(core) or len(text) >= limit:
         return CUT, core
     if len(core) >= LEAST and title.startswith(core):
@@ -90,7 +92,8 @@ def verdict(text: str, title: str, limit: int) -> tuple[int, str]:
 
 
 def judged(articles: DataFrame) -> DataFrame:
-    """(article_seq, src, field, state, copy, core, k3, k2, n) of every value; copy: an excerpt that repeats its description."""
+    """(article_seq, src, field, state, core, k3, k2, n, copy) of every value; copy: an excerpt that repeats its
+    description, or a description that its excerpt repeats."""
 
     def run(batches):
         for b in batches:
@@ -99,28 +102,28 @@ def judged(articles: DataFrame) -> DataFrame:
                 t, d, e = bare(title), bare(d), bare(e)
                 state, core = verdict(d, t, LIMIT)
                 if d:
-                    rows.append((seq, src, "description", state, core, len(d)))
+                    rows.append((seq, src, "description", state, core, len(d), e == d))
                 if not e:
                     continue
                 if e == d:
-                    rows.append((seq, src, "public_excerpt", state, core, -len(d)))
+                    rows.append((seq, src, "public_excerpt", state, core, len(d), True))
                     continue
                 stop = MARK.sub("", e).rstrip()
                 if stop and not is_void(d) and d.startswith(stop):
-                    rows.append((seq, src, "public_excerpt", CUT, e, len(e)))
+                    rows.append((seq, src, "public_excerpt", CUT, e, len(e), False))
                 else:
-                    rows.append((seq, src, "public_excerpt", *verdict(e, t, LIMIT), len(e)))
+                    rows.append((seq, src, "public_excerpt", *verdict(e, t, LIMIT), len(e), False))
             open_ = [r[3] == OPEN for r in rows]
             k = [last_contexts(r[4]) if o else (None, None) for r, o in zip(rows, open_)]
-            c = list(zip(*rows)) if rows else [()] * 6
+            c = list(zip(*rows)) if rows else [()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int32()), pa.array([x if o else None for x, o in zip(c[4], open_)], pa.string()),
-                 pa.array([x[0] for x in k], pa.string()), pa.array([x[1] for x in k], pa.string()), pa.array([abs(x) for x in c[5]], pa.int32())],
-                ["article_seq", "src", "field_name", "state", "core", "k3", "k2", "n"],
+                [pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int32()), pa.array([x if y in (OPEN, STOPPED) else None for x, y in zip(c[4], c[3])], pa.string()),
+                 pa.array([x[0] for x in k], pa.string()), pa.array([x[1] for x in k], pa.string()), pa.array(c[5], pa.int32()), pa.array(c[6], pa.bool_())],
+                ["article_seq", "src", "field_name", "state", "core", "k3", "k2", "n", "copy"],
             )
 
     rows = articles.select(F.col("article_seq").cast("bigint"), F.coalesce("source_name", F.lit("")).alias("src"), "title_original", "description", "public_excerpt")
-    return rows.mapInArrow(run, "article_seq long, src string, field_name string, state int, core string, k3 string, k2 string, n int")
+    return rows.mapInArrow(run, "article_seq long, src string, field_name string, state int, core string, k3 string, k2 string, n int, copy boolean")
 
 
 def longer_elsewhere(values: DataFrame) -> DataFrame:
@@ -181,18 +184,22 @@ def cut_values(articles: DataFrame) -> DataFrame:
     """(article_seq, src, field_name, is_cut) of every value that isn't null or empty.
 
     A value is cut that bears a mark of it or ends within an entity, tag or character; that fills the field's limit
-    without an end; that is the beginning of its row's description or title, or of a longer copy elsewhere; or that
+    without an end; that is the beginning of its row's description or title, or, even at an end of sentence, of a
+    longer copy elsewhere; or that
     stops, without an end of sentence, where sentences of the corpus go on, or at a length at which its source's
-    values pile up. Short texts, fillers and texts that only lack a full stop are none.
+    values pile up. Short texts, fillers and texts that only lack a full stop are none. An excerpt
+    that repeats its description is cut where that is.
     """
     rows = cut(judged(articles), "judged")
-    open_ = rows.where(F.col("state") == OPEN)
+    open_, stopped = rows.where(F.col("state") == OPEN), rows.where(F.col("state") == STOPPED)
+    follows = F.col("copy") & (F.col("field_name") == "public_excerpt")
     texts = articles.select(F.trim("description").alias("text")).where(F.length("text") > 0).distinct()
-    longer = longer_elsewhere(texts.unionByName(open_.select(F.col("core").alias("text")))).distinct().withColumn("longer", F.lit(True))
+    longer = longer_elsewhere(texts.unionByName(open_.unionByName(stopped).select(F.col("core").alias("text")))).distinct().withColumn("longer", F.lit(True))
+    longer = cut(longer, "longer").withColumnRenamed("text", "core")
     counts = cut(context_counts(texts), "contexts")
     wide = counts.select(F.col("k").alias("k3"), F.col("total").alias("t3"), F.col("final").alias("f3"))
     narrow = counts.select(F.col("k").alias("k2"), F.col("total").alias("t2"), F.col("final").alias("f2"))
-    x = open_.join(wide, "k3", "left").join(narrow, "k2", "left").join(longer.withColumnRenamed("text", "core"), "core", "left")
+    x = open_.where(~follows).join(wide, "k3", "left").join(narrow, "k2", "left").join(longer, "core", "left")
     every = open_.unionByName(open_.withColumn("src", F.lit(None).cast("string")))  # a source alone, and all
     piles = every.groupBy("src", "field_name", "n").agg(F.count_distinct("core").alias("here"))
     near = Window.partitionBy("src", "field_name").orderBy("n").rangeBetween(-6, 6)
@@ -204,8 +211,12 @@ def cut_values(articles: DataFrame) -> DataFrame:
     rate = F.when(known3 >= SEEN, F.col("f3") / F.col("t3")).when(known2 > 0, F.coalesce("f2", F.lit(0)) / F.col("t2")).otherwise(0.0)
     long_ = F.length("core") >= LEAST
     is_cut = F.coalesce("longer", F.lit(False)) | (long_ & (F.coalesce("piled", F.lit(False)) | (rate < RARELY)))
-    out = rows.where(F.col("state") != OPEN).select("article_seq", "src", "field_name", (F.col("state") == CUT).alias("is_cut"))
-    return out.unionByName(x.select("article_seq", "src", "field_name", is_cut.alias("is_cut")))
+    kept = ["article_seq", "src", "field_name", "copy"]
+    out = rows.where(F.col("state").isin(NO, CUT) & ~follows).select(*kept, (F.col("state") == CUT).alias("is_cut"))
+    out = out.unionByName(x.select(*kept, is_cut.alias("is_cut")))
+    out = out.unionByName(stopped.where(~follows).join(longer, "core", "left").select(*kept, F.coalesce("longer", F.lit(False)).alias("is_cut")))
+    fields = F.when(F.col("copy"), F.array(F.lit("description"), F.lit("public_excerpt"))).otherwise(F.array("field_name"))
+    return out.select("article_seq", "src", F.explode(fields).alias("field_name"), "is_cut")
 
 
 def p6_found(articles: DataFrame) -> DataFrame:
