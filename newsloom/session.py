@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,20 +30,49 @@ def build_session(app: str = "newsloom", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or in tests, where it is unset, a temporary one."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset a local session gets a temporary
+    one; on a cluster, whose machines don't share such a folder, that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = at.get() if at.isDefined() else "file://" + tempfile.mkdtemp(prefix="newsloom-")
+        at = at.get() if at.isDefined() else None
+    if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="newsloom-")
+        _made.append(at)
         spark.conf.set("spark.checkpoint.dir", at) if spark.conf.isModifiable("spark.checkpoint.dir") else None
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
+_made: list[str] = []  # what this process wrote to the shared folder
+
+
+def clear() -> None:
+    """Deletes what this process wrote to the shared folder. Results that are still to be read need it, so this is for
+    the end; it runs at the end of the process by itself."""
+    while _made:
+        path = _made.pop()
+        if path.startswith("file:"):
+            shutil.rmtree(local(path), ignore_errors=True)
+        elif (gateway := SparkContext._gateway) is not None:
+            try:
+                p = gateway.jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(gateway.jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+            except Exception:  # the JVM is gone; the folder's own retention holds
+                pass
+
+
+atexit.register(clear)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh place in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
