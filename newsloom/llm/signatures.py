@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 SHINGLE = 5
 FUNCTIONS = 64
-DEPTH = 4
+DEPTH = 3
+BOUND = 512
+SUBTREES, STEP, LEVELS = 24, 4, 3
 LEAST_MATCHES = 32  # of a pair alike by just 0.60 that shares a region, fewer than one in 20,000 has less
 _U = np.uint64
 
@@ -95,65 +101,150 @@ def forest(texts: DataFrame, trees: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(rows, "k long, id long, w1 long, w2 long, n int")
 
 
-def neighbours(rows: DataFrame, alike: float, fresh: bool = False) -> DataFrame:
-    """Candidates (a, b, m), a < b, m the matching values of the sketches, from the regions of all trees.
+def neighbours(rows: DataFrame, alike: float, fresh: bool = False, bound: int = BOUND, levels: int = LEVELS) -> DataFrame:
+    """Candidates (a, b, m, ratio), a < b, m the matching values of the sketches, from the regions of all trees.
 
-    A region is the rows of a tree that share its first DEPTH values. Every two rows of a region are compared, however
-    many it has; its rows' sketches, 36 bytes each, are kept until it ends. fresh: only pairs of which one id is odd;
-    odd ids come first in a region and only they are kept.
+    A region is the rows of a tree that have their first DEPTH values in common: in sorted order, neighbours whose
+    longest common prefix is that long. Every two rows of a region of up to `bound` rows are compared. A denser region
+    becomes deeper: its rows are put into SUBTREES orders of STEP more values each, and again where that still
+    isn't enough. What is dense after `levels` of that is compared whole, in pairs of blocks spread over tasks, so no
+    region is cut short. fresh: only pairs whose later id is odd.
     """
+    found, level = [], 0
+    while True:
+        out = cut(regions(rows, alike, fresh, bound), "regions")
+        found.append(out.where("m is not null").select("a", "b", "m", "ratio"))
+        dense = out.where("m is null").select("k", F.col("a").alias("id"), "w1", "w2", "n")
+        if dense.isEmpty():
+            break
+        if level == levels:
+            found.append(regions(blocks(dense, bound), alike, fresh, None).select("a", "b", "m", "ratio"))
+            break
+        rows, level = deeper(dense, level), level + 1
+    return reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(F.max("m").alias("m"), F.max("ratio").alias("ratio"))
+
+
+def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> DataFrame:
+    """One level: candidates (a, b, m, ratio) of the regions of up to `bound` rows, and the rows of denser ones as
+    (k, a, w1, w2, n) with m null. Tasks stream rows in order of k and keep one region of up to `bound` rows."""
 
     def near(batches):
-        carry = None  # the last region's rows that later ones meet
-        pairs: list[tuple[np.ndarray, ...]] = []
-        held = 0
+        carry = None  # the last region, which may go on
+        flood = None  # a dense region that may go on
         for b in batches:
             if not b.num_rows:
                 continue
-            new = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            old = 0 if carry is None else len(carry[0])
-            cols = new if carry is None else [np.concatenate(x) for x in zip(carry, new)]
-            k, ids, w1, w2, n = cols
-            w1, w2 = w1.view(np.uint64), w2.view(np.uint64)
-            begins = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            start = np.repeat(begins, np.diff(np.concatenate((begins, [len(k)]))))
-            live = np.arange(old, len(k))
-            v = 0
-            while True:  # each row and the v-th of its region
-                live = live[start[live] + v < live]
-                if fresh:
-                    live = live[(ids[start[live] + v] & 1) == 1]
-                if not len(live):
-                    break
-                i, j = live, start[live] + v
-                v += 1
-                sized = np.minimum(n[i], n[j]) >= 0.5 * alike * np.maximum(n[i], n[j])
-                i, j = i[sized], j[sized]
-                off = np.zeros(len(i), np.int32)
-                for x in (w1, w2):
-                    d = x[i] ^ x[j]
-                    off += np.bitwise_count((d | (d >> _U(1))) & _U(0x5555555555555555)).astype(np.int32)
-                ok = FUNCTIONS - off >= LEAST_MATCHES
-                if ok.any():
-                    x, y = ids[i[ok]], ids[j[ok]]
-                    pairs.append((np.minimum(x, y), np.maximum(x, y), (FUNCTIONS - off[ok]).astype(np.int32)))
-                    held += len(x)
-                    if held > 100_000:
-                        yield batch(pairs)
-                        pairs, held = [], 0
-            last = slice(int(start[-1]), None)
-            carry = [c[last].copy() for c in cols]
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            if flood is not None:
+                end = int(np.searchsorted(cols[0], flood, "right"))
+                if end:
+                    yield dense([c[:end] for c in cols])
+                    cols = [c[end:] for c in cols]
+                if not len(cols[0]):
+                    continue
+                flood = None
+            cols = cols if carry is None else [np.concatenate(x) for x in zip(carry, cols)]
+            last = int(np.searchsorted(cols[0], cols[0][-1], "left"))
+            carry = [c[last:].copy() for c in cols]
+            yield from compare([c[:last] for c in cols])
+            if bound is not None and len(carry[0]) > bound:
+                flood = carry[0][0]
+                yield dense(carry)
+                carry = None
+        if carry is not None:
+            yield from compare(carry)
+
+    def compare(cols):
+        k, ids, w1, w2, n = cols
+        if not len(k):
+            return
+        begins = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        sizes = np.diff(np.concatenate((begins, [len(k)])))
+        size = np.repeat(sizes, sizes)
+        if bound is not None and (many := size > bound).any():
+            yield dense([c[many] for c in cols])
+        keep = size > 1 if bound is None else (size > 1) & (size <= bound)
+        if not keep.any():
+            return
+        k, ids, w1, w2, n = (c[keep] for c in cols)
+        w1, w2 = w1.view(np.uint64), w2.view(np.uint64)
+        begins = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        start = np.repeat(begins, np.diff(np.concatenate((begins, [len(k)]))))
+        live, v, held = np.arange(len(k)), 0, 0
+        pairs: list[tuple[np.ndarray, ...]] = []
+        while True:  # each row and the v-th of its region
+            live = live[start[live] + v < live]
+            if not len(live):
+                break
+            i, j = live, start[live] + v
+            v += 1
+            low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            some = low >= 0.5 * alike * high
             if fresh:
-                odd = (carry[1] & 1) == 1
-                carry = [c[odd] for c in carry]
+                some &= (np.maximum(ids[i], ids[j]) & 1) == 1
+            i, j, ratio = i[some], j[some], (low[some] / high[some]).astype(np.float32)
+            off = np.zeros(len(i), np.int32)
+            for x in (w1, w2):
+                d = x[i] ^ x[j]
+                off += np.bitwise_count((d | (d >> _U(1))) & _U(0x5555555555555555)).astype(np.int32)
+            ok = (FUNCTIONS - off >= LEAST_MATCHES) & (ids[i] != ids[j])
+            if ok.any():
+                x, y = ids[i[ok]], ids[j[ok]]
+                pairs.append((np.minimum(x, y), np.maximum(x, y), (FUNCTIONS - off[ok]).astype(np.int32), ratio[ok]))
+                held += len(x)
+                if held > 50_000:
+                    yield batch(pairs)
+                    pairs, held = [], 0
         if pairs:
             yield batch(pairs)
 
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    names = ["a", "b", "m", "ratio", "k", "w1", "w2", "n"]
+
     def batch(pairs):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*pairs)], ["a", "b", "m"])
+        x = [np.unique(np.rec.fromarrays([np.concatenate(c) for c in zip(*pairs)]))] if pairs else []
+        cols = [pa.array(np.ascontiguousarray(x[0][f])) for f in x[0].dtype.names]
+        return pa.RecordBatch.from_arrays(cols + [pa.nulls(len(cols[0]), t) for t in kinds[4:]], names)
+
+    def dense(cols):
+        k, ids, w1, w2, n = (pa.array(c) for c in cols)
+        none = [pa.nulls(len(k), t) for t in kinds[1:4]]
+        return pa.RecordBatch.from_arrays([ids, *none, k, w1, w2, n], names)
+
+    spread = rows.select("k", "id", "w1", "w2", "n").repartition("k").sortWithinPartitions("k")
+    return spread.mapInArrow(near, "a long, b long, m int, ratio float, k long, w1 long, w2 long, n int")
+
+
+def deeper(dense: DataFrame, level: int) -> DataFrame:
+    """Rows of dense regions in SUBTREES orders of their region, by STEP more values, two bits of each.
+
+    A pair alike by 0.60 has such a value in common with 0.7, so it shares none of the deeper regions with
+    (1 - 0.7 ** STEP) ** SUBTREES, 0.14 %."""
+    places = np.random.default_rng(977 + level).permuted(np.tile(np.arange(FUNCTIONS), (SUBTREES, 1)), axis=1)[:, :STEP]
+
+    def rows(batches):
+        for b in batches:
+            k, ids, w1, w2, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            u = (w1.view(np.uint64), w2.view(np.uint64))
+            sub = np.empty((SUBTREES, len(k)), np.uint64)
+            for t in range(SUBTREES):
+                x = _mix(k.view(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(t + 1 + 1000 * (level + 1)))
+                for f in places[t]:
+                    x = _mix(x * _U(0x9E3779B97F4A7C15) + ((u[f // 32] >> _U(2 * (f % 32))) & _U(3)))
+                sub[t] = x
+            cols = [pa.array(sub.ravel().view(np.int64)), *(pa.array(np.tile(c, SUBTREES)) for c in (ids, w1, w2, n))]
+            yield pa.RecordBatch.from_arrays(cols, ["k", "id", "w1", "w2", "n"])
+
+    return dense.select("k", "id", "w1", "w2", "n").mapInArrow(rows, "k long, id long, w1 long, w2 long, n int")
+
 
-    spread = rows.select("k", "id", "w1", "w2", "n").repartition("k").sortWithinPartitions("k", (F.col("id") % 2).desc() if fresh else "id")
-    return spread.mapInArrow(near, "a long, b long, m int").where("a <> b").distinct()
+def blocks(dense: DataFrame, bound: int) -> DataFrame:
+    """The rows of each region dealt into blocks of about `bound` rows, once for every pair of blocks: k then names the
+    region and the pair, so all pairs of a region of any size are compared by many tasks."""
+    n = dense.groupBy("k").agg(F.ceil(F.count("*") / bound).cast("int").alias("parts"))
+    x = dense.join(n, "k").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return x.select(F.xxhash64("k", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "id", "w1", "w2", "n")
 
 
 def checked(pairs: DataFrame, texts: DataFrame, alike: float) -> DataFrame:

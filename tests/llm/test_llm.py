@@ -84,10 +84,31 @@ def test_batches_one_by_one(spark):
     for lo, hi in ((1, 15), (16, 10**6)):
         part = rows.where(F.col("row").between(near.FRESH + lo, near.FRESH + hi))
         found |= {x.row for x in near.probe(history, part).select("row").collect()}
-        history = history.accept(near.History.of(part))
+        history.accept(near.Batch(history, part))
+        history = near.History.open(spark, history.path)  # as another session would
     assert found == whole
 
 
+def test_a_probe_leaves_the_history_where_it_is(spark):
+    """No exchange and no sort over the history's tables: only the batch's keys are shuffled, to their buckets."""
+    c = [(t, d, None) for t, d in corpus(5, 20)]
+    history = near.History.of(near.store_rows(frame(spark, c)))
+    for few in (False, True):
+        keys = history.lookup("keys", spark.range(5).toDF("k"), few)
+        plan = keys._jdf.queryExecution().executedPlan().toString()
+        over_keys = plan[: plan.index("Range")] if "Range" in plan else plan
+        assert ("Bucketed: true" in plan or few) and "Sort" not in plan and over_keys.count("Exchange") <= (0 if few else 3)
+
+
+def test_learned_score_tells_alike_pairs(spark):
+    r = random.Random(3)
+    x = np.array([[v, r.random(), *(float(r.random() < 0.3) for _ in near.FIELDS)] for v in (r.random() for _ in range(400))])
+    y = (x[:, 0] + 0.2 * x[:, 3] > 0.6).astype(float)
+    w = near.learned(x, y)
+    assert w[0] > 3 and w[3] > 0.3 and abs(w[1]) < w[0] / 3
+    assert not near.learned(x[:0], y[:0]).any() and not near.learned(x, np.ones(400)).any()
+
+
 def test_representatives(spark):
     r = random.Random(4)
     links = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(7, 7)]

@@ -41,14 +41,26 @@ def test_clusters_are_those_of_batch_after_batch(spark):
             x, y = sorted((find(x), find(y)))
             up[y] = x
 
-    _, own = near.probed(history, incoming.limit(0), store=True)
-    take([(x.a, x.b) for x in [*near.store_copies(history, rows).collect(), *own.collect()]])
+    near.store_clusters(history, rows)
+    take([(x.id, x.rep) for x in history.table("reps").collect()])
     for lo, hi in ((1, 2), (3, 4), (5, 6)):
-        part = incoming.where(F.col("row").between(near.FRESH + lo, near.FRESH + hi))
-        first, links = near.probed(history, part)
-        first = [(x.row, x["first"]) for x in first.collect()]
-        known |= {x for x, _ in first}
-        take([*first, *((x.a, x.b) for x in links.collect())])
-        history = history.accept(near.History.of(part))
+        batch = near.Batch(history, incoming.where(F.col("row").between(near.FRESH + lo, near.FRESH + hi)))
+        first = [(x.row, x["first"]) for x in batch.by_address.unionByName(batch.by_text).collect()]
+        links = [(x.a, x.b) for x in batch.links().collect()]
+        known |= {x for x, _ in first} | {max(x) for x in links}
+        take([*first, *links])
+        history.accept(batch)
     name = lambda x: near.FRESH - x if x >= near.FRESH else x
+    b = b.withColumn("batch_no", F.floor((F.col("incoming_seq") + 1) / 2).cast("int"))
     assert {x.incoming_seq: x.known_as for x in near.p1_clusters(a, b).collect()} == {x - near.FRESH: name(find(x)) for x in known}
+
+
+def test_a_merge_touches_only_its_clusters(spark):
+    history = near.History.create(spark)
+    one = spark.createDataFrame([(2, 1), (3, 1), (11, 10), (12, 10), (21, 20)], "a long, b long")
+    history.merge(one)
+    before = history.table("reps").count()
+    history.merge(spark.createDataFrame([(12, 3), (30, 11)], "a long, b long"))
+    added = history.table("reps").count() - before
+    reps = {x.id: x.rep for x in history.representatives(spark.range(40)).collect()}
+    assert reps == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 12: 1, 30: 1, 20: 20, 21: 20} and added <= 7
