@@ -97,10 +97,8 @@ def tidy(text: str) -> str:
     return " ".join(unicodedata.normalize("NFKC", text).split())
 
 
-def read(text: str | None, order: str, zone: str | None, codes: dict[str, int]) -> tuple[str, int | None]:
-    """(form, whole seconds since 1970 UTC or None) of a text, all-number dates read in the given order, times without
-    offset or zone being wall time of `zone`. Words, impossible dates and unknown zones name no instant."""
-    x = tidy(text) if text else ""
+def _match(x: str) -> tuple[str, re.Match | int | None]:
+    """The notation of a tidied text with what matched, or the seconds that it is."""
     if not x:
         return "none", None
     if x.isdigit() and len(x) in (10, 13, 16, 19):
@@ -108,23 +106,49 @@ def read(text: str | None, order: str, zone: str | None, codes: dict[str, int])
     if re.fullmatch(r"\d{10}\.\d+", x):
         return "epoch", int(x.split(".")[0])
     for form, p in FORMS:
-        if (m := p.fullmatch(x)) is None:
-            continue
-        at = _calendar(m, order)
-        if at is None:
-            return form, None
-        z = m.groupdict().get("z")
-        if z and z.lower() == "г":
-            z = None
-        if not z:
-            return form, wall_epoch(at, zone) if zone else None
-        if "/" in z:
-            return form, wall_epoch(at, z)
-        off = 0 if z in "Zz" else offset_seconds(z, codes)
-        return form, None if off is None else int((at - EPOCH).total_seconds()) - off
+        if (m := p.fullmatch(x)) is not None:
+            return form, m
     return "words", None
 
 
+def _zone_of(m: re.Match) -> str | None:
+    z = m.groupdict().get("z")
+    return None if not z or z.lower() == "г" else z
+
+
+def _instant(at: datetime | None, z: str | None, zone: str | None, codes: dict[str, int]) -> int | None:
+    if at is None:
+        return None
+    if not z:
+        return wall_epoch(at, zone) if zone else None
+    if "/" in z:
+        return wall_epoch(at, z)
+    off = 0 if z in "Zz" else offset_seconds(z, codes)
+    return None if off is None else int((at - EPOCH).total_seconds()) - off
+
+
+def read(text: str | None, order: str, zone: str | None, codes: dict[str, int]) -> tuple[str, int | None]:
+    """(form, whole seconds since 1970 UTC or None) of a text, all-number dates read in the given order, times without
+    offset or zone being wall time of `zone`. Words, impossible dates and unknown zones name no instant."""
+    form, m = _match(tidy(text) if text else "")
+    return (form, _instant(_calendar(m, order), _zone_of(m), zone, codes)) if isinstance(m, re.Match) else (form, m)
+
+
+def ways(text: str | None, zone: str | None, codes: dict[str, int]) -> tuple[str, bool, tuple[int | None, ...]]:
+    """(form, whether it names its offset, the instants by each format): day first and month first, each as wall time of
+    `zone` and of UTC. Formats that don't differ for a text have one instant; without a zone UTC isn't read either."""
+    form, m = _match(tidy(text) if text else "")
+    if not isinstance(m, re.Match):
+        return form, True, (m,) * 4
+    z = _zone_of(m)
+    out: list[int | None] = []
+    for order in ("dmy", "mdy") if form == "number" else ("dmy",):
+        at = _calendar(m, order)
+        own = _instant(at, z, zone, codes)
+        out += [own, own if z or not zone else _instant(at, z, "UTC", codes)]
+    return form, bool(z), tuple(out * 2)[:4]
+
+
 def day_of(text: str | None, hours: int = 9) -> int | None:
     """Days since 1970 of a date, or of an instant's date at that offset; wall time without an offset is of that offset."""
     x = tidy(text) if text else ""

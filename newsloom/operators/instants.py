@@ -8,42 +8,54 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.moments import day_of, read
+from ..functions.moments import day_of, read, ways
 from ..functions.text import name_key
 from ..functions.url import host_of
 from ..session import cut
 
 DAY = 86_400
 OLDEST, NEWEST = 7_300 * DAY, DAY
-PRIOR = 1e6
+PRIOR = 1e6  # how many values the catalogue's word on a source weighs
+CODES = 100_000
+FORMATS = ("day_local", "day_utc", "month_local", "month_utc")
+# Classes of a reading by its lag before the fetch, and how many days each spans: no instant, outside the window, after
+# the fetch, within a month before it, older, and no time of fetch known.
+NONE, OUTSIDE, AHEAD, RECENT, OLDER, UNKNOWN = range(6)
+SPAN = np.array([7300.0, 7300.0, 1.0, 31.0, 7269.0, 7300.0])
 
 
-def _plausible(lag: Column) -> Column:
-    """0 to 3: no instant, outside the window, inside it, within a month of the fetch."""
-    inside = (lag >= -NEWEST) & (lag <= OLDEST)
-    return F.when(lag.isNull(), 0).when(inside & (lag <= 31 * DAY), 3).when(inside, 2).otherwise(1)
+def lag_class(epoch: Column, fetched: Column) -> Column:
+    lag = fetched - epoch
+    known = F.when(lag < -NEWEST, OUTSIDE).when(lag < 0, AHEAD).when(lag <= 31 * DAY, RECENT).when(lag <= OLDEST, OLDER).otherwise(OUTSIDE)
+    return F.when(epoch.isNull(), NONE).when(fetched.isNull(), UNKNOWN).otherwise(known)
 
 
-LIKELIHOOD = np.array([0.0, 1e-6, 1e-2, 1.0])
+def densities(counts: dict[int, int]) -> np.ndarray:
+    """The density per day of a right reading's lag in each class, from values that have one reading only."""
+    n = np.array([counts.get(i, 0) + 1.0 for i in range(6)])
+    return n / n.sum() / SPAN
 
 
-def mixture(counts: pd.DataFrame, rounds: int = 100) -> float:
-    """The share of day-first dates of one source by expectation and maximisation over (day_first, month_first, n),
-    the classes of likelihood of its all-number values under either reading, from the given prior counts."""
-    d, m = LIKELIHOOD[counts["day_first"].to_numpy()], LIKELIHOOD[counts["month_first"].to_numpy()]
-    n = counts["n"].to_numpy(float)
-    known = (d + m) > 0
-    d, m, n = d[known], m[known], n[known]
-    order = counts["date_order"].iloc[0]
-    a, b = {"dmy": (PRIOR, 0.0), "mdy": (0.0, PRIOR)}.get(order, (1.0, 1.0))
-    share = (a + 0.5) / (a + b + 1)
+def mixture(counts: pd.DataFrame, density: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """The shares of one source's FORMATS by expectation and maximisation over (FORMATS' classes, n).
+
+    Every value contributes its likelihood under each format that it can be read in; the catalogue's order of day and
+    month and its zone weigh as much as PRIOR values, so only more evidence than that is worth overrules them."""
+    day = {"dmy": (PRIOR, 0.0), "mdy": (0.0, PRIOR)}.get(counts["date_order"].iloc[0], (1.0, 1.0))
+    priors = np.array([day, (PRIOR, 0.0)]) + 0.5  # of day or month first, and of wall time or UTC
+    like, n = density[counts[list(FORMATS)].to_numpy()].reshape(-1, 2, 2), counts["n"].to_numpy(float)
+    order, zone = priors / priors.sum(1, keepdims=True)
     for _ in range(rounds):
-        p = share * d / np.maximum(share * d + (1 - share) * m, 1e-300)
-        new = (a + 0.5 + (n * p).sum()) / (a + b + 1 + n.sum())
-        if abs(new - share) < 1e-9:
+        p = order[:, None] * zone * like
+        p *= (n / np.maximum(p.sum((1, 2)), 1e-300))[:, None, None]
+        seen = p.sum(0)
+        new = priors + np.array([seen.sum(1), seen.sum(0)])
+        new /= new.sum(1, keepdims=True)
+        moved = max(np.abs(new[0] - order).max(), np.abs(new[1] - zone).max())
+        order, zone = new
+        if moved < 1e-12:
             break
-        share = new
-    return float(share)
+    return (order[:, None] * zone).ravel()
 
 
 def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -56,57 +68,81 @@ def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def readings(articles: DataFrame, sources: DataFrame, zone_codes: DataFrame) -> DataFrame:
-    """One row per article: the instants of raw_published_at read day first and month first, its form, and what the
-    derived columns name. The catalogue of zone letters is small and fixed; it travels with the function."""
-    codes = {r[0].upper(): int(r[1]) for r in zone_codes.dropna().select("zone_code", "offset_minutes").limit(10_000).collect()}
+    """One row per article: the instants of raw_published_at by each of FORMATS, its form, and what the derived columns
+    name. The catalogue of zone letters travels with the function; one of more than CODES rows is an error."""
+    known = zone_codes.dropna().select(F.upper("zone_code"), F.col("offset_minutes").cast("int")).distinct().limit(CODES + 1).collect()
+    if len(known) > CODES:
+        raise ValueError(f"more than {CODES} zone codes")
+    codes = {r[0]: r[1] for r in known}
     rows = articles.select("article_seq", "source_domain", "source_name", "raw_published_at", "published_at_utc", "published_at_jst", "fetched_at_utc")
     rows = with_source(rows, sources).select("article_seq", "src", "tz", "date_order", "raw_published_at", "published_at_utc", "published_at_jst", "fetched_at_utc")
 
     def run(batches):
         for b in batches:
             seq, src, tz, order, raw, utc, jst, fetched = (b.column(i).to_pylist() for i in range(8))
-            form, day, month = [], [], []
-            for t, z in zip(raw, tz):
-                f, e = read(t, "dmy", z, codes)
-                form.append(f)
-                day.append(e)
-                month.append(read(t, "mdy", z, codes)[1] if f == "number" else e)
-            cols = [seq, src, order, form, day, month, [read(t, "ymd", "UTC", codes)[1] for t in utc], [day_of(t) for t in jst], [read(t, "ymd", "UTC", codes)[1] for t in fetched]]
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["article_seq", "src", "date_order", "form", "day_first", "month_first", "utc", "jst_day", "fetched"])
+            got = [ways(t, z, codes) for t, z in zip(raw, tz)]
+            utc, fetched = ([read(t, "ymd", "UTC", codes)[1] for t in x] for x in (utc, fetched))
+            cols = [seq, src, order, [g[0] for g in got], [g[1] for g in got], *zip(*(g[2] for g in got))] if got else [[]] * 9
+            cols += [utc, [day_of(t) for t in jst], fetched]
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 7]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["article_seq", "src", "date_order", "form", "zoned", *FORMATS, "utc", "jst_day", "fetched"])
+
+    kinds = ", ".join(f"{c} long" for c in (*FORMATS, "utc", "jst_day", "fetched"))
+    return rows.mapInArrow(run, f"article_seq long, src string, date_order string, form string, zoned boolean, {kinds}")
+
+
+def _one_way(x: DataFrame) -> Column:
+    first, *others = (F.col(c) for c in FORMATS)
+    same = F.lit(True)
+    for c in others:
+        same = same & first.eqNullSafe(c)
+    return same
 
-    return rows.mapInArrow(run, "article_seq long, src string, date_order string, form string, day_first long, month_first long, utc long, jst_day long, fetched long")
 
+def lag_counts(read_rows: DataFrame) -> dict[int, int]:
+    """How many values with one reading and an offset of their own fall into each class."""
+    one = read_rows.where(_one_way(read_rows) & F.col("zoned") & ~F.col("form").isin("none", "words"))
+    return {r["c"]: r["n"] for r in one.groupBy(lag_class(F.col("day_local"), F.col("fetched")).alias("c")).agg(F.count("*").alias("n")).collect()}
 
-def orders(read_rows: DataFrame) -> DataFrame:
-    """(src, share): each source's share of day-first readings."""
-    n = read_rows.where((F.col("form") == "number") & F.col("src").isNotNull())
-    n = n.groupBy("src", "date_order", _plausible(F.col("fetched") - F.col("day_first")).alias("day_first"), _plausible(F.col("fetched") - F.col("month_first")).alias("month_first")).agg(F.count("*").alias("n"))
-    return n.groupBy("src").applyInPandas(lambda x: pd.DataFrame({"src": x["src"].iloc[:1], "share": [mixture(x)]}), "src string, share double")
+
+def format_shares(read_rows: DataFrame, density: np.ndarray) -> DataFrame:
+    """(src, shares): each source's shares of FORMATS, from its values that have several readings."""
+    n = read_rows.where(~_one_way(read_rows) & F.col("src").isNotNull())
+    n = n.groupBy("src", "date_order", *(lag_class(F.col(c), F.col("fetched")).alias(c) for c in FORMATS)).agg(F.count("*").alias("n"))
+    return n.groupBy("src").applyInPandas(lambda x: pd.DataFrame({"src": x["src"].iloc[:1], "shares": [mixture(x, density)]}), "src string, shares array<double>")
 
 
 def instants(articles: DataFrame, sources: DataFrame, zone_codes: DataFrame, sure: float = 0.95) -> DataFrame:
-    """(article_seq, published_epoch, certainty, unresolved, utc, jst_day, fetched) of every row.
+    """(article_seq, published_epoch, certainty, unresolved, chosen, utc, jst_day, fetched) of every row.
 
-    An all-number date takes the reading that its source's mixture and the time of the fetch make likelier; the
-    catalogue's date_order, where given, holds, and a date impossible under it names no instant. A value whose better
-    reading stays under `sure` is marked unresolved; so is wall time of an unknown source. Null, empty and worded
-    values have no instant. An empty table gives no rows.
+    A value that its formats read differently gets the reading of the highest posterior: the source's share of each
+    format, found by expectation and maximisation, times the density of its lag before the fetch; "no instant" is
+    a reading, too, so a date that is impossible in its source's format mostly stays so. `chosen` says that the
+    posterior had to decide. A value whose best reading stays under `sure` is marked unresolved; so is wall time of an
+    unknown source. Null, empty and worded values have no instant. An empty table gives no rows.
     """
     rows = cut(readings(articles, sources, zone_codes), "readings")
-    rows = rows.join(orders(rows), "src", "left")
-    like = F.array(*(F.lit(float(x)) for x in LIKELIHOOD))
-    score = lambda c, p: p * F.element_at(like, _plausible(F.col("fetched") - F.col(c)) + 1)
-    share = F.coalesce("share", F.lit(0.5))
-    d, m = score("day_first", share), score("month_first", 1 - share)
-    numeric = F.col("form") == "number"
-    differ = numeric & ~F.col("day_first").eqNullSafe(F.col("month_first"))
-    given = F.col("date_order").isin("dmy", "mdy")
-    day = F.when(given, F.col("date_order") == "dmy").otherwise(d >= m)
-    epoch = F.when(differ & ~day, F.col("month_first")).otherwise(F.col("day_first"))
-    certainty = F.when(~differ | given, F.lit(1.0)).when(d + m > 0, F.greatest(d, m) / (d + m)).otherwise(F.lit(0.5))
+    density = densities(lag_counts(rows))
+    rows = rows.join(format_shares(rows, density), "src", "left")
+    like = F.array(*(F.lit(float(x)) for x in density))
+    shares = F.coalesce("shares", F.array(*[F.lit(0.25)] * 4))
+    classes = F.array(*(lag_class(F.col(c), F.col("fetched")) for c in FORMATS))
+    rows = rows.withColumn("one", _one_way(rows)).withColumn("e", F.array(*FORMATS))
+    rows = rows.withColumn("w", F.when(~F.col("one"), F.zip_with(shares, classes, lambda s, c: s * F.element_at(like, c + 1))))
+    total = lambda w: F.aggregate(w, F.lit(0.0), lambda a, b: a + b)
+    # the weight of an instant is that of all formats that read it
+    of = lambda x: total(F.zip_with("e", "w", lambda y, v: F.when(y.eqNullSafe(x), v).otherwise(0.0)))
+    best = F.array_max(F.transform("e", lambda x, i: F.struct(of(x).alias("p"), (-i).alias("i"), x.alias("e"))))
+    rows = rows.withColumn("best", F.when(~F.col("one"), best))
+    epoch = F.when(F.col("one"), F.col("day_local")).otherwise(F.col("best.e"))
+    certainty = F.when(F.col("one"), F.lit(1.0)).otherwise(F.col("best.p") / total(F.col("w")))
     open_ = (certainty < sure) | (F.col("src").isNull() & epoch.isNull() & ~F.col("form").isin("none", "words", "epoch"))
-    return rows.select("article_seq", epoch.alias("published_epoch"), certainty.alias("certainty"), open_.alias("unresolved"), "utc", "jst_day", "fetched")
+    return rows.select("article_seq", epoch.alias("published_epoch"), certainty.alias("certainty"), open_.alias("unresolved"), (~F.col("one")).alias("chosen"), "utc", "jst_day", "fetched")
+
+
+def p2_readings(articles: DataFrame, sources: DataFrame, zone_codes: DataFrame) -> DataFrame:
+    """(chosen, unresolved, n): how many values the posterior decided and how many stayed open."""
+    return instants(articles, sources, zone_codes).groupBy("chosen", "unresolved").agg(F.count("*").alias("n"))
 
 
 def p2_found(articles: DataFrame, sources: DataFrame, zone_codes: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from .tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": lambda s, d: instants.p2_found(load(s, d, "articles"), load(s, d, "sources"), load(s, d, "zone_codes")),
+    "p2_readings": lambda s, d: instants.p2_readings(load(s, d, "articles"), load(s, d, "sources"), load(s, d, "zone_codes")),
 }
 ORACLES: dict[str, str] = {}
 for area in (scalars, store, rollups, matching, services, streams):

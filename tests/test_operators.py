@@ -33,11 +33,37 @@ def test_instants(spark):
     assert marked[4] and not marked[1] and not marked[6]
 
 
+CLASSES = ["day_local", "day_utc", "month_local", "month_utc"]
+
+
 def test_mixture_learns_the_order():
-    votes = pd.DataFrame({"day_first": [3, 3, 3], "month_first": [0, 1, 3], "n": [30, 10, 20], "date_order": None})
-    assert instants.mixture(votes) > 0.9
-    assert instants.mixture(votes.assign(day_first=votes["month_first"], month_first=votes["day_first"])) < 0.1
-    assert instants.mixture(votes.assign(date_order="mdy")) < 0.01
+    density = instants.densities({instants.RECENT: 900, instants.OLDER: 80, instants.NONE: 10, instants.OUTSIDE: 10})
+    d, m = [instants.RECENT, instants.RECENT, instants.OLDER], [instants.NONE, instants.OUTSIDE, instants.OLDER]
+    votes = pd.DataFrame({"day_local": d, "day_utc": d, "month_local": m, "month_utc": m, "n": [30, 10, 20], "date_order": None})
+    turned = votes.assign(day_local=m, day_utc=m, month_local=d, month_utc=d)
+    day = lambda x: instants.mixture(x, density)[:2].sum()
+    assert day(votes) > 0.9 and day(turned) < 0.1
+    assert day(turned.assign(date_order="dmy", n=[3, 1, 20])) > 0.999  # little against the catalogue
+    flood = turned.assign(date_order="dmy", n=[300_000, 100, 20])  # more than it weighs
+    assert day(flood) < 0.9
+    assert instants.mixture(votes, density)[1::2].sum() < 1e-4
+
+
+def test_the_posterior_decides(spark):
+    """A source without a date order, and one whose catalogue entry its values contradict."""
+    fetched = "2026-05-20T00:00:00+00:00"
+    fetch = lambda i: f"2026-{5 + i % 7:02d}-20T00:00:00+00:00"
+    rows = [(i, "a.com", "A", f"{5 + i % 7:02d}/{13 + i % 6:02d}/2026 08:00", "", "", fetch(i), None, None) for i in range(60)]  # month first
+    rows += [(100, "a.com", "A", "05/06/2026 08:00", "", "", fetched, None, None), (101, "b.com", "B", "05/06/2026 08:00", "", "", fetched, None, None)]
+    rows += [(200 + i, "c.com", "C", f"2026-05-{1 + i % 19:02d}T00:00:00Z", "", "", fetched, None, None) for i in range(400)]
+    sources = spark.createDataFrame([("a", "A", "https://a.com/f", "UTC", None), ("b", "B", "https://b.com/f", "UTC", "dmy"), ("c", "C", "https://c.com/f", "UTC", None)], SOURCE)
+    codes = spark.createDataFrame([], "zone_code string, offset_minutes int")
+    got = {r.article_seq: r for r in instants.instants(spark.createDataFrame(rows, ARTICLE), sources, codes).collect()}
+    assert all(got[i].chosen and got[i].published_epoch for i in range(60))
+    assert got[100].published_epoch == 1778054400 and got[100].chosen and not got[100].unresolved  # 6 May
+    assert got[101].published_epoch == 1780646400 and got[101].chosen  # 5 June, as the catalogue says
+    counts = {(r.chosen, r.unresolved): r.n for r in instants.p2_readings(spark.createDataFrame(rows, ARTICLE), sources, codes).collect()}
+    assert counts[(True, False)] == 62
 
 
 def sequential(rows):
