@@ -22,6 +22,9 @@ ALIKE = {
     "аеорсухіјѕһԁԛԝοϲϳ": "aeopcyxijshdqwocj",
     "‐‑": "--",
 }
+# Letters that most typefaces draw nearly like the Latin letter at the same place.
+RESEMBLING_LETTERS = ("αβγικνορστυωχабвгкмнтиɡɩıℓɑʋոօսհցᴏᴄᴠᴡᴢ", "aByikvopotuwxabBrkmntugiilavnouhgocvwz")
+RESEMBLE = 0.25
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 INVISIBLE = [0xAD, 0x34F, 0x61C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF]
 
@@ -41,13 +44,32 @@ def look_table() -> dict[int, str | None]:
 TABLE = look_table()
 
 
+def resembling() -> dict[str, tuple[str, ...]]:
+    """The doubtful letters with the plain ones they resemble: those above, and by the character database the letters
+    that are others in a style or one sign for several (compatibility forms)."""
+    out = {x: (y,) for x, y in zip(*RESEMBLING_LETTERS, strict=True) if ord(x) not in TABLE}
+    for i in [*range(0x2100, 0x2150), *range(0x1D400, 0x1D7CC), 0x132, 0x133, *range(0x1C7, 0x1CD), *range(0x1F1, 0x1F4)]:
+        kind, plain = unicodedata.decomposition(chr(i)), unicodedata.normalize("NFKD", chr(i))
+        if kind.startswith(("<font>", "<compat>")) and plain.isalpha() and i not in TABLE:
+            out[chr(i)] = (plain,)
+    return out
+
+
+RESEMBLING = resembling()
+
+
 def normal(text: str) -> str:
     """By table alone."""
     return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(TABLE))
 
 
 class Trie:
-    """Words in their plain spelling, read by an automaton to which look-alikes and invisible characters cost nothing."""
+    """Words in their plain spelling, read by a weighted edit automaton.
+
+    Its states are places in the trie, each with the least cost of reaching it. A character may go on as itself, as
+    what it looks like beyond doubt (or as nothing, if it is invisible), both at no cost, or as a letter that it resembles
+    in most typefaces (RESEMBLING), at RESEMBLE. Every other edit is visible and is none.
+    """
 
     def __init__(self, words):
         self.root: dict = {}
@@ -57,52 +79,77 @@ class Trie:
                 node = node.setdefault(c, {})
             node.setdefault("", w)
 
-    def spell(self, token: str) -> str | None:
-        """The word that the token reaches at no cost, if any; every other edit costs more than that."""
-        look, states = TABLE, [self.root]
+    def spell(self, token: str, most: float = 0.0) -> tuple[str, float] | None:
+        """The word that the token reaches at the least cost, `most` at most, and that cost; of words at one cost the
+        smallest."""
+        states: dict[int, tuple[float, dict]] = {0: (0.0, self.root)}
         for c in unicodedata.normalize("NFD", token):
-            ways = (c,) if (x := look.get(ord(c), c)) == c else ("" if x is None else x,)
-            after = []
-            for node in states:
-                for way in ways:
+            sure = TABLE.get(ord(c), c)
+            ways = [("" if sure is None else sure, 0.0)]
+            if sure == c:
+                ways += [(x, RESEMBLE) for x in RESEMBLING.get(c, ())]
+            after: dict[int, tuple[float, dict]] = {}
+            for cost, node in states.values():
+                for way, more in ways:
                     at: dict | None = node
                     for y in way:
                         at = at.get(y) if at else None
-                    if at is not None:
-                        after.append(at)
+                    if at is not None and cost + more <= most and (id(at) not in after or cost + more < after[id(at)][0]):
+                        after[id(at)] = (cost + more, at)
             if not after:
                 return None
             states = after
-        return next((w for s in states if (w := s.get("")) is not None), None)
+        ends = [(cost, w) for cost, at in states.values() if (w := at.get("")) is not None]
+        return min(ends)[::-1] if ends else None
 
 
-WORDS = re.compile(r"[^\x00-\x20]+")
+BLANKS = re.compile(r"[^\x00-\x20]+")
+LETTERS = re.compile(f"(?:[^\\W\\d_]|[\u0300-\u036f{re.escape(''.join(map(chr, INVISIBLE)))}])+")
 
 
 class Speller:
+    """Texts in their one form: each run of letters is spelled as the word that it reaches, by the table if none.
+
+    A resemblance counts only in a run that has a plain Latin letter as well and half of whose letters at most are
+    doubtful, and only if the vocabulary has the word: a run of one script that is no such word stays as it is.
+    """
+
     def __init__(self, content: bytes):
         words = (base64.b64decode(x.split()[0]).decode("utf-8", "ignore").strip() for x in content.splitlines() if x)
         self.trie = Trie(w for w in words if len(w) > 1 and w.isalpha() and normal(w) == w)
-        self.known: dict[str, str] = {}
-
-    def token(self, m: re.Match) -> str:
+        self.known: dict[str, tuple[str, int, int]] = {}
+        self.by_word = self.changed = 0
+
+    def read(self, t: str) -> tuple[str, int, int]:
+        """The run's spelling, whether it is a word's, and whether the table alone would give another."""
+        doubtful = sum(c in RESEMBLING for c in t)
+        plain = any(c.isascii() for c in t)
+        word = self.trie.spell(t, RESEMBLE * doubtful if plain and 2 * doubtful <= len(t) and len(t) > 2 else 0.0)
+        table = normal(t)
+        return (table, 0, 0) if word is None else (word[0], 1, int(word[0] != table))
+
+    def letters(self, m: re.Match) -> str:
         t = m[0]
         if t.isascii():
             return t
         if (x := self.known.get(t)) is None:
-            spelled = self.trie.spell(t)
-            x = normal(t) if spelled is None else spelled
+            x = self.read(t)
             if len(t) < 40:
-                if len(self.known) > 200_000:
+                if len(self.known) > 100_000:
                     self.known.clear()
                 self.known[t] = x
-        return x
+        self.by_word += x[1]
+        self.changed += x[2]
+        return x[0]
+
+    def token(self, m: re.Match) -> str:
+        return m[0] if m[0].isascii() else LETTERS.sub(self.letters, m[0]).translate(TABLE)
 
     def text(self, text: str) -> str:
-        """The text with every token in its canonical spelling; marks that begin a token join what stands before."""
+        """The text in its one form; marks that begin a run join what stands before."""
         if text.isascii():
             return text
-        return unicodedata.normalize("NFC", WORDS.sub(self.token, text))
+        return unicodedata.normalize("NFC", unicodedata.normalize("NFD", BLANKS.sub(self.token, text)).translate(TABLE))
 
 
 def speller(content: bytes) -> Speller:
@@ -159,6 +206,25 @@ def same_look(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return out.select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b"))
 
 
+def look_readings(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(doc_id, by_word, decided): of each text that isn't null or empty, how many runs of letters the vocabulary
+    spelled, and for how many of these the table alone would have given another spelling."""
+    content = read_ranks(vocabulary)
+
+    def run(batches):
+        s = speller(content)
+        for b in batches:
+            words, decided = [], []
+            for t in b.column(1).to_pylist():
+                s.by_word = s.changed = 0
+                s.text(t)
+                words.append(s.by_word)
+                decided.append(s.changed)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.int64()), pa.array(decided, pa.int64())], ["doc_id", "by_word", "decided"])
+
+    return documents.where(F.length("text") > 0).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id long, by_word long, decided long")
+
+
 def look_groups(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, same_as, spellings): of each document that looks like one of other characters the group's smallest id
     and number of spellings."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,13 +12,15 @@ from ..session import cut
 from .tokens import VOCABULARY, token_counts
 
 CAPACITY = 2048
-MAX_ITEMS = 64
-SHARD = 40_000
+MAX_ITEMS = 48
+COST_SHARE = 0.9
+SHARD = 10_000
 
 
 def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float, weights: tuple[float, float, float]) -> np.ndarray:
     """The bin of each item, sizes falling: of the open bins that can take an item under every constraint, the one
-    left with the smallest weighted norm of its residual tokens, places and attention cost (the sum of squared sizes)."""
+    left with the smallest weighted norm of its residual tokens, places and attention cost (the sum of squared sizes).
+    An item that exceeds the cost alone has a bin of its own."""
     smallest = sizes[-1] if len(sizes) else 0
     room = np.empty((3, 1024))
     number = np.empty(1024, np.int64)
@@ -52,27 +55,26 @@ def pack(items: DataFrame, capacity: int = CAPACITY, max_items: int = MAX_ITEMS,
     """items (doc_id, n_tokens) to (doc_id, part, n_tokens, container).
 
     An item over the capacity is divided into full parts and a rest, no other is. Each container keeps to the
-    capacity, to max_items and to max_cost, the sum of its squared sizes (capacity squared by default, which a full
-    container meets). Items of no or unknown size take a place but no room. Items are dealt by key into shards of about
-    `shard` parts; every shard is packed on its own, so only its last few containers aren't full.
+    capacity, to max_items and to max_cost, the sum of its squared sizes (by default COST_SHARE of the capacity squared,
+    so nearly full single documents take no others); a part that exceeds the cost alone is alone. Items of no or unknown
+    size take a place but no room. Items are dealt by key into shards of about `shard` parts, each a task of its own;
+    every shard is packed on its own, so only its last few containers aren't full.
     """
-    max_cost = float(capacity) ** 2 if max_cost is None else max_cost
-    if max_cost < float(capacity) ** 2:
-        limit = int(max_cost**0.5)  # a part must meet the cost alone
-    else:
-        limit = capacity
+    max_cost = COST_SHARE * float(capacity) ** 2 if max_cost is None else max_cost
     n = F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0))
-    parts = items.select("doc_id", n.alias("n")).select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / limit).cast("int"), F.lit(1)) - 1)).alias("part"))
-    parts = cut(parts.select("doc_id", "part", F.least(F.lit(limit), F.col("n") - F.col("part") * limit).cast("int").alias("n_tokens")), "parts")
+    parts = items.select("doc_id", n.alias("n")).select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / capacity).cast("int"), F.lit(1)) - 1)).alias("part"))
+    parts = cut(parts.select("doc_id", "part", F.least(F.lit(capacity), F.col("n") - F.col("part") * capacity).cast("int").alias("n_tokens")), "parts")
     shards = max(1, -(-parts.count() // shard))
 
-    def fill(x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values(["n_tokens", "doc_id", "part"], ascending=[False, True, True], kind="stable")
+    def fill(batches):
+        if not (got := list(batches)):
+            return
+        x = pd.concat(got).sort_values(["n_tokens", "doc_id", "part"], ascending=[False, True, True], kind="stable")
         bins = best_fit(x["n_tokens"].to_numpy(), capacity, max_items, max_cost, weights)
-        return pd.DataFrame({"doc_id": x["doc_id"], "part": x["part"], "n_tokens": x["n_tokens"], "container": (x["shard"].to_numpy().astype(np.int64) << 32) + bins})
+        yield x.assign(container=(TaskContext.get().partitionId() << 32) + bins)
 
-    dealt = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "part"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInPandas(fill, "doc_id long, part int, n_tokens int, container long")
+    # a number of partitions that is asked for isn't changed by adaptive execution
+    return parts.repartition(shards, F.xxhash64("doc_id", "part")).mapInPandas(fill, "doc_id long, part int, n_tokens int, container long")
 
 
 def containers(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -21,14 +21,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_clusters": lambda s, d: near.p1_clusters(load(s, d, "articles"), load(s, d, "incoming_articles")),
     "p3_found": lambda s, d: ranking.p3_found(load(s, d, "articles")),
     "p4_found": p4_found,
+    "p4_skipping": lambda s, d: ranking.skipping(load(s, d, "articles"), "event_cluster_id", "market_impact_score", "article_seq", 3),
     "p5_found": lambda s, d: ranking.best_of_duplicates(load(s, d, "articles")),
     "p6_found": lambda s, d: truncated.p6_found(load(s, d, "articles")),
-    "p6_source_rates": lambda s, d: truncated.source_rates(load(s, d, "articles")),
+    "p6_source_rates": lambda s, d: truncated.source_rates(load(s, d, "articles"), load(s, d, "sources")),
+    "p6_reasons": lambda s, d: truncated.p6_reasons(load(s, d, "articles")),
     "p7_found": lambda s, d: near.p7_found(load(s, d, "articles")),
     "p7_groups": lambda s, d: near.near_groups(load(s, d, "articles")),
     "p8_ids": lambda s, d: tokens.token_ids(load(s, d, "documents")),
     "p9_containers": lambda s, d: packing.containers(load(s, d, "documents")),
     "p10_found": lambda s, d: looks.same_look(load(s, d, "documents")),
+    "p10_readings": lambda s, d: looks.look_readings(load(s, d, "documents")),
     "p10_groups": lambda s, d: looks.look_groups(load(s, d, "documents")),
 }
 

@@ -25,14 +25,18 @@ def ordered_score(score: Column) -> tuple[Column, Column]:
 # ------------------------------------------------------------------------------------------------ top rows of a group
 
 
-def write_clustered(df: DataFrame, group: Column, score: Column, seq: Column, row_group_bytes: int = 1 << 20) -> str:
-    """Writes (g, ok, s, q) clustered by group and falling score into small row groups; a large group spans many
-    files, split by score, so no task holds one group. Rows with a blank group are left out."""
+def write_clustered(df: DataFrame, group: Column, score: Column, seq: Column, row_group_rows: int | None = None, path: str | None = None) -> str:
+    """Writes (g, ok, s, q) clustered by group and falling score, by default into the shared folder; the layout serves
+    any number of later calls of top_n. A large group spans many row groups and files, split by score, so no task holds
+    one group. Rows with a blank group are left out. Row groups have at most row_group_rows rows, by default a
+    2 ** 14th of all, 256 at least, so their number has a bound and large groups span many at every size."""
     ok, s = ordered_score(score)
     rows = df.select(group.alias("g"), ok.alias("ok"), s.alias("s"), seq.alias("q")).where(~blank(F.col("g")))
     order = [F.col("g"), F.col("ok").desc(), F.col("s").desc(), F.col("q")]
-    path = shared_path(df.sparkSession, "clustered")
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.option("parquet.block.size", row_group_bytes).option("parquet.page.size", 1 << 16).parquet(path)
+    path = path or shared_path(df.sparkSession, "clustered")
+    row_group_rows = row_group_rows or max(256, df.count() >> 14)
+    out = rows.repartitionByRange(*order).sortWithinPartitions(*order).write.option("parquet.block.row.count.limit", row_group_rows)
+    out.option("parquet.page.size.row.check.min", 64).option("parquet.page.size.check.estimate", "false").parquet(path)
     return path
 
 
@@ -68,7 +72,8 @@ def row_group_statistics(spark, path: str) -> DataFrame:
 
 
 def needed_row_groups(stats: DataFrame, n: int) -> DataFrame:
-    """Leaves out each row group strictly below the n-th score that its one group already has in higher row groups.
+    """(file, rg, n, g0, g1, hi): leaves out each row group strictly below the n-th score that its one group already has
+    in higher row groups, of whatever file.
 
     A row group of several groups begins at least one of them and is always read; without statistics, too.
     """
@@ -77,26 +82,65 @@ def needed_row_groups(stats: DataFrame, n: int) -> DataFrame:
     above = stats.where(pure).withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
     full = above.withColumn("nth", F.when(F.col("before") + F.col("n") >= n, F.col("lo")))
     bound = full.withColumn("bound", F.max("nth").over(w))
-    keep = bound.where(F.col("bound").isNull() | (F.col("hi") >= F.col("bound"))).select("file", "rg", "n")
-    return keep.unionByName(stats.where(~F.coalesce(pure, F.lit(False))).select("file", "rg", "n"))
+    kept = ["file", "rg", "n", "g0", "g1", "hi"]
+    keep = bound.where(F.col("bound").isNull() | (F.col("hi") >= F.col("bound"))).select(*kept)
+    return keep.unionByName(stats.where(~F.coalesce(pure, F.lit(False))).select(*kept))
 
 
-def top_n(spark, path: str, n: int) -> DataFrame:
-    """The n best rows of every group of a table by write_clustered: (g, pos, q), ties by the smaller q."""
-    need = needed_row_groups(row_group_statistics(spark, path), n).repartition("file", "rg")
+def _best(t: pa.Table, n: int) -> pa.Table:
+    """The rows of a sorted row group that are among the first n of their group in it."""
+    if len(t) <= n:
+        return t
+    g = t.column("g").combine_chunks()  # a row goes where the n-th before it has its group
+    return t.filter(pa.chunked_array([pa.array([True] * n), pc.not_equal(g[n:], g[:-n])]))
 
-    def read(batches):
+
+def _read_file(file: str, groups: list[tuple], n: int):
+    """The best rows of a file's row groups (number, g0, g1, hi), read in falling order of their maximum.
+
+    nth keeps the n best scores so far of each group that a row group has to itself, so a row group is skipped once its
+    group's current n-th score is above all it has."""
+    f, nth = open_parquet(file), {}
+    for rg, g0, g1, hi in sorted(groups, key=lambda x: (-LOWEST if x[3] is None else x[3]), reverse=True):
+        pure = g0 is not None and g0 == g1
+        if pure and len(have := nth.get(g0, ())) == n and hi < have[-1]:
+            continue
+        t = f.read_row_group(rg, columns=["g", "ok", "s", "q"])
+        size, t = len(t), _best(t, n)
+        if pure:
+            nth[g0] = sorted([*nth.get(g0, ()), *t.column("s").to_pylist()], reverse=True)[:n]
+        yield size, t
+
+
+def top_n(spark, path: str, n: int, counted: bool = False) -> DataFrame:
+    """The n best rows of every group of a table by write_clustered: (g, pos, q), ties by the smaller q; or, counted,
+    how much of it is read: (row_groups, row_groups_read, rows, rows_read).
+
+    Statistics in the footers leave out row groups before any task reads, the scores read so far others in it.
+    """
+    stats = row_group_statistics(spark, path)
+    need = needed_row_groups(stats, n).groupBy("file").agg(F.collect_list(F.struct("rg", "g0", "g1", "hi")).alias("groups"))
+    need = need.repartition(F.col("file"))
+
+    def parts(batches):
         for b in batches:
-            for f, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                t = open_parquet(f).read_row_group(k, columns=["g", "ok", "s", "q"])
-                g = t.column("g").combine_chunks()  # in order already: a row goes where the n-th before it has its group
-                if len(t) > n:
-                    first = pa.array([True] * n)
-                    t = t.filter(pa.chunked_array([first, pc.not_equal(g[n:], g[:-n])]))
-                yield from t.cast(pa.schema([("g", pa.string()), ("ok", pa.int32()), ("s", pa.float64()), ("q", pa.int64())])).to_batches()
+            for f, groups in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield from _read_file(f, [(x["rg"], x["g0"], x["g1"], x["hi"]) for x in groups], n)
+
+    def read(batches):
+        for _, t in parts(batches):
+            yield from t.cast(pa.schema([("g", pa.string()), ("ok", pa.int32()), ("s", pa.float64()), ("q", pa.int64())])).to_batches()
+
+    def count(batches):
+        sizes = [size for size, _ in parts(batches)]
+        yield pa.RecordBatch.from_arrays([pa.array([len(sizes)], pa.int64()), pa.array([sum(sizes)], pa.int64())], ["k", "r"])
 
+    if counted:
+        taken = need.select("file", "groups").mapInArrow(count, "k long, r long").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("row_groups_read"), F.coalesce(F.sum("r"), F.lit(0)).alias("rows_read"))
+        every = stats.agg(F.count("*").alias("row_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+        return every.select(F.lit(1).alias("one"), "*").join(taken.withColumn("one", F.lit(1)), "one").drop("one")
     w = Window.partitionBy("g").orderBy(F.col("ok").desc(), F.col("s").desc(), "q")
-    best = need.select("file", "rg").mapInArrow(read, "g string, ok int, s double, q long")
+    best = need.select("file", "groups").mapInArrow(read, "g string, ok int, s double, q long")
     return best.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= n).select("g", "pos", "q")
 
 
@@ -110,6 +154,12 @@ def top_of_groups(df: DataFrame, group: str, score: str, seq: str, n: int) -> Da
     return top_n(df.sparkSession, path, n).select(F.col("g").alias(group), "pos", F.col("q").alias(seq))
 
 
+def skipping(df: DataFrame, group: str, score: str, seq: str, n: int) -> DataFrame:
+    """(row_groups, row_groups_read, rows, rows_read): how much of the clustered table top_of_groups reads."""
+    path = write_clustered(df, F.col(group), F.col(score).cast("double"), F.col(seq).cast("bigint"))
+    return top_n(df.sparkSession, path, n, counted=True)
+
+
 # ------------------------------------------------------------------------------------------------ best representative
 
 

@@ -10,6 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import name_key
+from ..operators.instants import with_source
 from ..session import cut
 from .ranking import VOID
 
@@ -70,24 +72,27 @@ def last_contexts(text: str) -> tuple[str, str]:
     return f"{w[0]} {w[1]} {w[2]}", f"{w[1]} {w[2]}"
 
 
-NO, CUT, OPEN, STOPPED = 0, 1, 2, 3
+NO, MARKED, BEGINS, FILLED, OPEN, STOPPED = range(6)
+REASONS = {MARKED: "mark", BEGINS: "own", FILLED: "limit"}
 
 
 def verdict(text: str, title: str, limit: int) -> tuple[int, str]:
-    """NO, CUT, OPEN or, at an end of sentence, STOPPED, and what is left without a tail: from the value itself."""
+    """What the value itself tells, and what of it is looked for in longer copies elsewhere ('' for nothing)."""
     if not text or is_void(text):
-        return NO, text
+        return NO, ""
     if MARK.search(text) or BROKEN.search(text):
-        return CUT, text
+        return MARKED, BROKEN.sub("", MARK.sub("", text)).rstrip()
     core = TAIL.sub("", text) or text
     if core == title:
-        return NO, core
+        return NO, ""
     if ENDED.search(core):
         return STOPPED, text  # with its tail, else it would continue in itself
-    if MARK.search(core) or len(text) >= limit:
-        return CUT, core
+    if MARK.search(core):
+        return MARKED, MARK.sub("", core).rstrip()
+    if len(text) >= limit:
+        return FILLED, core
     if len(core) >= LEAST and title.startswith(core):
-        return CUT, core
+        return BEGINS, core
     return OPEN, core
 
 
@@ -110,52 +115,73 @@ def judged(articles: DataFrame) -> DataFrame:
                     continue
                 stop = MARK.sub("", e).rstrip()
                 if stop and not is_void(d) and d.startswith(stop):
-                    rows.append((seq, src, "public_excerpt", CUT, e, len(e), False))
+                    rows.append((seq, src, "public_excerpt", BEGINS, stop, len(e), False))
                 else:
                     rows.append((seq, src, "public_excerpt", *verdict(e, t, LIMIT), len(e), False))
-            open_ = [r[3] == OPEN for r in rows]
-            k = [last_contexts(r[4]) if o else (None, None) for r, o in zip(rows, open_)]
+            k = [last_contexts(r[4]) if r[3] == OPEN else (None, None) for r in rows]
             c = list(zip(*rows)) if rows else [()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int32()), pa.array([x if y in (OPEN, STOPPED) else None for x, y in zip(c[4], c[3])], pa.string()),
+                [pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int32()), pa.array(c[4], pa.string()),
                  pa.array([x[0] for x in k], pa.string()), pa.array([x[1] for x in k], pa.string()), pa.array(c[5], pa.int32()), pa.array(c[6], pa.bool_())],
                 ["article_seq", "src", "field_name", "state", "core", "k3", "k2", "n", "copy"],
             )
 
-    rows = articles.select(F.col("article_seq").cast("bigint"), F.coalesce("source_name", F.lit("")).alias("src"), "title_original", "description", "public_excerpt")
+    rows = articles.select(F.col("article_seq").cast("bigint"), F.coalesce(name_key(F.col("source_name")), F.lit("")).alias("src"), "title_original", "description", "public_excerpt")
     return rows.mapInArrow(run, "article_seq long, src string, field_name string, state int, core string, k3 string, k2 string, n int, copy boolean")
 
 
+def goes_on(longer: str, text: str) -> bool:
+    """Whether `longer` begins with the text and has more than sentence marks after it."""
+    return longer.startswith(text) and bool(longer[len(text) :].strip(".!?。 "))
+
+
 def longer_elsewhere(values: DataFrame) -> DataFrame:
     """The texts (text) of `values` that are strict prefixes of another one, more than a sentence mark being missing.
 
-    Sorted, a text's extensions follow it at once: the sort is by ranges of the text, so copies of one beginning
-    spread over tasks, and each task streams its range; the seams between ranges are compared afterwards.
+    In sorted order a text's extensions follow it at once, so a task that streams a range keeps only the chain of
+    prefixes that the current text has. The sort is by ranges of the text, so copies of one beginning spread over
+    tasks; what a range leaves open meets the beginnings of the next ranges, a few texts of each.
     """
     spread = values.select("text").where(F.length("text") >= LEAST).distinct().repartitionByRange("text").sortWithinPartitions("text")
 
     def run(batches):
-        part, last = TaskContext.get().partitionId(), None
+        part, chain, head, first = TaskContext.get().partitionId(), [], 0, None
         for b in batches:
-            x = b.column(0).to_pylist()
-            if not x:
-                continue
-            if last is None:
-                out = [(part, "first", x[0])]
-                y = x
-            else:
-                out, y = [], [last, *x]
-            out += [(part, "hit", s) for s, t in zip(y, y[1:]) if t.startswith(s) and t[len(s) :].strip(".!?。 ")]
-            last = x[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.string(), pa.string()))] if out else [pa.array([], pa.int32()), pa.array([], pa.string()), pa.array([], pa.string())], ["part", "kind", "text"])
-        if last is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array(["last"]), pa.array([last])], ["part", "kind", "text"])
-
-    seen = cut(spread.mapInArrow(run, "part int, kind string, text string"), "prefixes")
-    seam = seen.where("kind <> 'hit'").groupBy("part").agg(F.max(F.when(F.col("kind") == "first", F.col("text"))).alias("first"), F.max(F.when(F.col("kind") == "last", F.col("text"))).alias("last"))
-    seam = seam.withColumn("next", F.lead("first").over(Window.orderBy("part")))  # a row for each task
-    seam = seam.where(F.col("next").startswith(F.col("last")) & F.col("next").substr(F.length("last") + 1, F.lit(1 << 20)).rlike("[^.!?。 ]")).select(F.col("last").alias("text"))
-    return seen.where("kind = 'hit'").select("text").unionByName(seam)
+            out = []
+            for t in b.column(0).to_pylist():
+                if head >= 0:  # the first text, those that differ from it by sentence marks only, and one more
+                    out.append((part, head, "first", t))
+                    stem = t.rstrip(".!?。 ")
+                    first, head = (stem, 1) if head == 0 else (first, head + 1 if stem == first else -1)
+                while chain and not t.startswith(chain[-1][0]):
+                    chain.pop()
+                for c in chain:
+                    if not c[1] and goes_on(t, c[0]):
+                        c[1] = True
+                        out.append((part, 0, "hit", c[0]))
+                chain.append([t, False])
+            yield rows(out)
+        yield rows([(part, i, "last", s) for i, (s, hit) in enumerate(chain) if not hit])
+
+    def rows(out):
+        c = list(zip(*out)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, (pa.int32(), pa.int32(), pa.string(), pa.string()))], ["part", "ord", "kind", "text"])
+
+    def join(batches):
+        waiting: list[str] = []
+        for b in batches:
+            hits = []
+            for kind, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if kind == "last":
+                    waiting.append(t)
+                else:
+                    hits += [s for s in waiting if goes_on(t, s)]
+                    waiting = [s for s in waiting if t.startswith(s) and not goes_on(t, s)]
+            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.string())], ["text"])
+
+    seen = cut(spread.mapInArrow(run, "part int, ord int, kind string, text string"), "prefixes")
+    seams = seen.where("kind <> 'hit'").repartition(1).sortWithinPartitions("part", "kind", "ord").select("kind", "text")
+    return seen.where("kind = 'hit'").select("text").unionByName(seams.mapInArrow(join, "text string")).distinct()
 
 
 def context_counts(texts: DataFrame) -> DataFrame:
@@ -181,49 +207,62 @@ def context_counts(texts: DataFrame) -> DataFrame:
 
 
 def cut_values(articles: DataFrame) -> DataFrame:
-    """(article_seq, src, field_name, is_cut) of every value that isn't null or empty.
-
-    A value is cut that bears a mark of it or ends within an entity, tag or character; that fills the field's limit
-    without an end; that is the beginning of its row's description or title, or, even at an end of sentence, of a
-    longer copy elsewhere; or that
-    stops, without an end of sentence, where sentences of the corpus go on, or at a length at which its source's
-    values pile up. Short texts, fillers and texts that only lack a full stop are none. An excerpt
-    that repeats its description is cut where that is.
+    """(article_seq, field_name, reason) of every value that isn't null or empty; reason null: it isn't cut.
+
+    First every value, without a mark of the cut, is looked for among the beginnings of all values: a strict prefix of
+    a longer copy elsewhere is cut, even at an end of sentence ("prefix"). Of those without a longer copy a value
+    is cut that bears a mark of it or ends within an entity, tag or character ("mark"), is the beginning of its row's
+    description or title ("own"), fills the field's limit without an end ("limit"), or stops, without an end of
+    sentence, at a length at which its source's or all values pile up ("pile") or where sentences of the corpus go on
+    ("context"). Short texts, fillers, repeated titles and texts that only lack a full stop are none. An excerpt
+    that repeats its description is cut where, and why, that is.
     """
     rows = cut(judged(articles), "judged")
-    open_, stopped = rows.where(F.col("state") == OPEN), rows.where(F.col("state") == STOPPED)
     follows = F.col("copy") & (F.col("field_name") == "public_excerpt")
-    texts = articles.select(F.trim("description").alias("text")).where(F.length("text") > 0).distinct()
-    longer = longer_elsewhere(texts.unionByName(open_.unionByName(stopped).select(F.col("core").alias("text")))).distinct().withColumn("longer", F.lit(True))
-    longer = cut(longer, "longer").withColumnRenamed("text", "core")
-    counts = cut(context_counts(texts), "contexts")
+    texts = articles.select(F.trim("description").alias("text")).where(F.length("text") > 0)
+    values = texts.unionByName(articles.select(F.trim("public_excerpt").alias("text"))).unionByName(rows.select(F.col("core").alias("text")))
+    longer = cut(longer_elsewhere(values).withColumn("longer", F.lit(True)), "longer").withColumnRenamed("text", "core")
+    judge = rows.where(~follows).join(longer, "core", "left").withColumn("longer", F.coalesce("longer", F.lit(False)))
+
+    open_ = rows.where(F.col("state") == OPEN)
+    counts = cut(context_counts(texts.distinct()), "contexts")
     wide = counts.select(F.col("k").alias("k3"), F.col("total").alias("t3"), F.col("final").alias("f3"))
     narrow = counts.select(F.col("k").alias("k2"), F.col("total").alias("t2"), F.col("final").alias("f2"))
-    x = open_.where(~follows).join(wide, "k3", "left").join(narrow, "k2", "left").join(longer, "core", "left")
     every = open_.unionByName(open_.withColumn("src", F.lit(None).cast("string")))  # a source alone, and all
     piles = every.groupBy("src", "field_name", "n").agg(F.count_distinct("core").alias("here"))
     near = Window.partitionBy("src", "field_name").orderBy("n").rangeBetween(-6, 6)
     piles = piles.withColumn("around", F.sum("here").over(near) - F.col("here")).where((F.col("here") >= 5) & (F.col("here") > F.col("around")))
     own = piles.where("src is not null").select("src", "field_name", "n", F.lit(True).alias("own_pile"))
     all_ = piles.where("src is null").select("field_name", "n", F.lit(True).alias("pile"))
-    x = x.join(own, ["src", "field_name", "n"], "left").join(all_, ["field_name", "n"], "left").withColumn("piled", F.coalesce("own_pile", "pile"))
+
+    kept = ["article_seq", "field_name", "copy"]
+    settled = F.col("longer") | (F.col("state") != OPEN)
+    told = F.when(F.col("longer"), "prefix")
+    for state, name in REASONS.items():
+        told = told.when(F.col("state") == state, name)
+    out = judge.where(settled).select(*kept, told.alias("reason"))
+    x = judge.where(~settled).join(wide, "k3", "left").join(narrow, "k2", "left")
+    x = x.join(own, ["src", "field_name", "n"], "left").join(all_, ["field_name", "n"], "left")
     known3, known2 = F.coalesce("t3", F.lit(0)), F.coalesce("t2", F.lit(0))
     rate = F.when(known3 >= SEEN, F.col("f3") / F.col("t3")).when(known2 > 0, F.coalesce("f2", F.lit(0)) / F.col("t2")).otherwise(0.0)
-    long_ = F.length("core") >= LEAST
-    is_cut = F.coalesce("longer", F.lit(False)) | (long_ & (F.coalesce("piled", F.lit(False)) | (rate < RARELY)))
-    kept = ["article_seq", "src", "field_name", "copy"]
-    out = rows.where(F.col("state").isin(NO, CUT) & ~follows).select(*kept, (F.col("state") == CUT).alias("is_cut"))
-    out = out.unionByName(x.select(*kept, is_cut.alias("is_cut")))
-    out = out.unionByName(stopped.where(~follows).join(longer, "core", "left").select(*kept, F.coalesce("longer", F.lit(False)).alias("is_cut")))
+    guess = F.when(F.length("core") < LEAST, None).when(F.coalesce("own_pile", "pile"), "pile").when(rate < RARELY, "context")
+    out = out.unionByName(x.select(*kept, guess.alias("reason")))
     fields = F.when(F.col("copy"), F.array(F.lit("description"), F.lit("public_excerpt"))).otherwise(F.array("field_name"))
-    return out.select("article_seq", "src", F.explode(fields).alias("field_name"), "is_cut")
+    return out.select("article_seq", F.explode(fields).alias("field_name"), "reason")
 
 
 def p6_found(articles: DataFrame) -> DataFrame:
-    return cut_values(articles).where("is_cut").select("article_seq", "field_name")
+    return cut_values(articles).where("reason is not null").select("article_seq", "field_name")
+
+
+def p6_reasons(articles: DataFrame) -> DataFrame:
+    """(field_name, reason, n): by what the cut values were found."""
+    return cut_values(articles).where("reason is not null").groupBy("field_name", "reason").agg(F.count("*").alias("n"))
 
 
-def source_rates(articles: DataFrame) -> DataFrame:
-    """(source_name, field_name, n, n_cut, share): how often each source's values are cut."""
-    g = cut_values(articles).groupBy(F.col("src").alias("source_name"), "field_name").agg(F.count("*").alias("n"), F.count_if("is_cut").alias("n_cut"))
+def source_rates(articles: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source_id, field_name, n, n_cut, share): how often the values of each source of the catalogue are cut; rows
+    whose source the catalogue doesn't have count under ''."""
+    src = with_source(articles.select("article_seq", "source_domain", "source_name"), sources).select(F.col("article_seq").cast("bigint").alias("article_seq"), F.coalesce("src", F.lit("")).alias("source_id"))
+    g = cut_values(articles).join(src, "article_seq").groupBy("source_id", "field_name").agg(F.count("*").alias("n"), F.count("reason").alias("n_cut"))
     return g.withColumn("share", F.round(F.col("n_cut") / F.col("n"), 6))
