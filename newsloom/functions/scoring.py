@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Weights and vocabularies.
-WEIGHTS = {"relevance": 0.25, "reaction": 0.25, "freshness": 0.15, "trust": 0.10, "urgency": 0.10, "structural": 0.10, "confirmation": 0.05}
+WEIGHTS = {"relevance": 0.25, "market_reaction": 0.25, "freshness": 0.15, "source_trust": 0.10, "urgency": 0.10, "structural": 0.10, "independent_source_confirmation": 0.05}
 STRUCTURAL = ["monetary_policy", "fiscal_policy", "geopolitics", "diplomacy_war", "us_china", "us_iran_middle_east", "taiwan", "ukraine", "north_korea", "sanctions", "tariffs", "semiconductor", "ai", "defense", "electric_power", "rare_earth", "regulation"]
 HIGH_IMPACT = ["monetary_policy", "rates", "fx", "inflation", "employment", "gdp", "oil", "natural_gas", "gold", "semiconductor", "ai", "earnings", "banking", "tariffs", "sanctions", "mna"]
 URGENT = ["急落", "急騰", "暴落", "緊急", "破綻", "利上げ", "利下げ", "介入", "攻撃", "侵攻", "crash", "plunge", "surge", "emergency", "collapse", "default", "bankruptcy", "rate hike", "rate cut", "attack", "invasion", "strike"]

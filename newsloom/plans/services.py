@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import pipeline
+from ..functions import views
 from ..operators import building, private
 from ..sources import apis, feeds
 from ..tables import load
 from . import rollups, store
 from .common import Registry, now_column
-from .scalars import SQL_HOST, sql_norm
+from .scalars import GAP, SQL_HOST, classified_sql, sql_norm
 
 query = Registry()
 _DT = "case article_seq % 4 when 0 then '120' when 1 then '350' when 2 then '180' else '999' end"
@@ -56,18 +57,33 @@ def doctype_lookup(s, d):
     return load(s, d, "articles").select("article_seq", apis.doctype((100 + 10 * (F.col("article_seq") % 30)).cast("string")).alias("kind"))
 
 
+_HAS = f"length(regexp_replace(coalesce(text, ''), {GAP}, '', 'g')) > 0"
+
+
+def _listed(xs) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]::varchar[]"
+
+
 def _play(c: str, part: int) -> str:
-    return f"case {c} " + " ".join(f"when '{k}' then '{','.join(v[part])}'" for k, v in private.PLAYBOOK.items()) + f" else '{','.join(private.DEFAULT_PLAY[part])}' end"
+    return f"case {c} " + " ".join(f"when '{k}' then {_listed(v[part])}" for k, v in private.PLAYBOOK.items()) + f" else {_listed(private.DEFAULT_PLAY[part])} end"
+
+
+def _joined(x: str) -> str:
+    return f"coalesce(array_to_string({x}, ','), '')"
 
 
-_EVIDENCE = "case article_seq % 5 when 0 then 'article' when 1 then 'market_confirmed' when 2 then 'historically_supported' when 3 then 'speculative' else 'rumour' end"
-_CAP = "case e when 'article' then 0.6e0 when 'market_confirmed' then 0.85e0 when 'historically_supported' then 0.75e0 else 0.4e0 end"
-_DAY = "date '2026-07-15'"
+_EVIDENCE = "case article_seq % 5 when 0 then 'article_based_hypothesis' when 1 then 'market_confirmed' when 2 then 'historically_supported' when 3 then 'speculative' else 'rumour' end"
+_CAP = "case e when 'market_confirmed' then 0.85e0 when 'historically_supported' then 0.75e0 when 'speculative' then 0.4e0 else 0.6e0 end"
+_LABEL = "coalesce(nullif(theme, ''), '記事テーマ')"
+_SCENES = ", ".join(f"('{t}', '{n}', '{p}', {c}e0, '{h}')" for t, n, p, c, h in private.SCENARIOS)
 
 
-@query("forecasts", f"select article_seq, s as scenario, round(least(b, {_CAP}), 2) as confidence, {_play('primary_category', 0)} as indicators, '2026-08-14' as review_on from (select article_seq, primary_category, {_EVIDENCE} e from articles), (values {', '.join(f'({n!r}, {c}e0)' for n, c in private.SCENARIOS)}) v(s, b)")
+@query("forecasts", f"""select 'fc_' || substr(sha256(cast(article_seq as varchar) || '|' || t), 1, 12) as forecast_id, article_seq, '2026-07-15T00:00:00+00:00' as created_at, h as horizon, t as scenario_type, replace(n, '%s', {_LABEL}) as scenario_title, p as probability_range,
+ replace(n, '%s', {_LABEL}) || 'する可能性（記事ベースの仮説であり断定ではない）' as prediction, {_LABEL} || '関連の発表・受注・投資計画の増減' as expected_developments, '日本株,関連コモディティ/為替' as affected_markets, {_joined(f'list_concat({_play("theme", 2)}, {_play("theme", 3)})')} as affected_sectors,
+ {_joined(_play('theme', 0))} as leading_indicators, {_joined(f"list_transform(({_play('theme', 0)})[1:2], lambda x: x || 'の記事方向への変化')")} as confirmation_triggers, {_joined(_play('theme', 1))} as invalidation_triggers, '2026-08-14' as next_review_date,
+ round(least(b, 0.6e0), 2) as confidence, 'article_based_hypothesis' as evidence_level, 'pending' as validation_status from (select article_seq, primary_category as theme from articles), (values {_SCENES}) v(t, n, p, b, h)""")
 def forecasts(s, d):
-    return private.forecasts(load(s, d, "articles"), "article_seq", "primary_category", F.expr(_EVIDENCE), F.expr(_DAY))
+    return views.flat(private.forecasts(load(s, d, "articles"), "article_seq", F.col("primary_category"), now_column()))
 
 
 @query("confidence_caps", f"select article_seq, round(least(coalesce(try_cast(case when article_seq % 7 = 0 then 'high' else cast(importance_score as varchar) end as double), 0e0), {_CAP}), 2) as confidence from (select article_seq, case when isnan(importance_score) then null else round(importance_score, 2) end importance_score, {_EVIDENCE} e from articles)")
@@ -77,26 +93,61 @@ def confidence_caps(s, d):
     return load(s, d, "articles").select("article_seq", private.capped(said, F.expr(_EVIDENCE)).alias("confidence"))
 
 
-@query("derived_summary", f"select article_seq, primary_category as theme, 'base' as scenario, round(least(0.55e0, {_CAP}), 2) as confidence, array_to_string(string_split({_play('primary_category', 0)}, ',')[1:4], ',') as indicators, 0.5e0 as importance, '2026-07-15' as day from (select article_seq, primary_category, {_EVIDENCE} e from articles)")
+# a dictionary of few words, so that the SQL side ends soon; the operator takes any
+_THEMES = {"ai": ["data works", "cloud contract"], "fx": ["currency", "Kronen"], "oil": ["refinery", "石油"], "semiconductor": ["optics", "robotics"], "shipping": ["freight", "harbour", "海運"]}
+_BODY = "coalesce(text, '')"
+_TITLE = "coalesce(title, '')"
+SQL_ANALYSIS = f"""with d as (select doc_id as article_seq, {_TITLE} as _t, {_BODY} as _b, coalesce(nullif({_TITLE}, ''), substr({_BODY}, 1, 80)) as title_original, substr({_BODY}, 1, 2000) as description from documents),
+ k as ({classified_sql(_THEMES, 'd')})
+select article_seq as doc_id, coalesce(nullif(category, 'uncategorized'), '') as theme, category as primary_category, themes, regexp_matches(_t || substr(_b, 1, 500), '{'|'.join(private.URGENT_HINTS)}') as urgent, length(_b) as n, _t from d join k using (article_seq)"""
+
+
+@query("rule_analysis", f"""select doc_id, theme, primary_category, themes, urgent, substr('「' || _t || '」に関するprivate保存記事。主テーマは' || coalesce(nullif(theme, ''), '特定テーマなし') || '。本文' || n || '字。' || case when urgent then '緊急性の高い語を含む。' else '' end, 1, 200) as summary_200,
+ {_joined(_play('theme', 2))} as beneficiary_sectors, {_joined(_play('theme', 3))} as headwind_sectors, coalesce(nullif(theme, ''), '特定テーマなし') || ',関連業種の受注・投資,関連銘柄の業績期待' as causal_chain from ({SQL_ANALYSIS})""")
+def rule_analysis(s, d):
+    x = private.analysis(load(s, d, "documents"), "doc_id", body="text", keywords=_THEMES)
+    return views.flat(x.select("doc_id", "theme", "primary_category", "themes", "urgent", "summary_200", "beneficiary_sectors", "headwind_sectors", "causal_chain"))
+
+
+@query("derived_summary", f"""select doc_id, themes, {_joined(_play('theme', 2))} as industries, {_joined(_play('theme', 2))} as sectors, '日本株,関連コモディティ/為替' as related_assets, 0.5e0 as importance_score, 0.5e0 as structural_score, '主テーマ' || coalesce(nullif(theme, ''), '特定テーマなし') || 'は保存時点でユーザーが注目した領域であり、テーマ蓄積の材料になる' as impression_hint,
+ {_joined(f"list_transform([{', '.join(chr(39) + n + chr(39) for _, n, *_x in private.SCENARIOS)}], lambda x: replace(x, '%s', coalesce(nullif(theme, ''), '記事テーマ')))")} as scenarios, 'base 0.55 1m,upside 0.35 3m,downside 0.35 3m,tail_risk 0.15 1y' as outlook, {_joined(f"({_play('theme', 0)})[1:4]")} as indicators, 0.55e0 as confidence, '2026-08-14' as next_review_date from ({SQL_ANALYSIS})""")
 def derived_summary(s, d):
-    return private.derived_summary(load(s, d, "articles"), "article_seq", "primary_category", F.expr(_EVIDENCE), F.expr(_DAY)).drop("assets")
+    """What may be shown of private texts, here the documents."""
+    x = private.derived_summary(private.analysis(load(s, d, "documents"), "doc_id", body="text", keywords=_THEMES), "doc_id", now_column())
+    f = F.col("forecast_summary")
+    outlook = F.transform(f, lambda y: F.concat_ws(" ", y["scenario_type"], y["confidence"].cast("string"), y["horizon"]))
+    x = x.withColumn("scenarios", F.transform(f, lambda y: y["scenario_title"])).withColumn("outlook", outlook).withColumn("indicators", f[0]["leading_indicators"])
+    return views.flat(x.drop("forecast_summary", "short_summary"))
+
+
+@query("private_records", f"""select 'pai_' || substr(body_hash, 1, 20) as private_article_id, title, n as character_count, submissions from (select sha256(regexp_replace(text, {GAP}, '', 'g')) as body_hash, count(*) as submissions, coalesce(nullif(arg_min(coalesce(title, ''), published_at), ''), '無題のprivate記事（' || strftime(min(published_at) + interval 9 hours, '%m/%d %H:%M') || '保存）') as title,
+ arg_min(length(regexp_replace(regexp_replace(text, '^' || {GAP}, ''), {GAP} || '$', '')), published_at) as n from documents where {_HAS} and length(text) <= 30000 and published_at is not null group by 1)""")
+def private_records(s, d):
+    """The metadata of private texts, one per body, here of the dated documents."""
+    good, _ = private.intake(load(s, d, "documents").where("published_at is not null").select("title", F.col("text").alias("body"), F.col("published_at").alias("submitted_at")))
+    return private.records(good).select("private_article_id", "title", "character_count", "submissions")
 
 
-@query("intake_checks", "select case when not regexp_matches(coalesce(text, ''), '[^\\s\\x{00A0}\\x{3000}]') then 'empty' when length(text) > 30000 then 'too_long' else 'accepted' end as outcome, count(*) as n from documents group by 1")
+@query("intake_checks", f"select case when length(regexp_replace(coalesce(text, ''), {GAP}, '', 'g')) = 0 then 'empty' when length(text) > 30000 then 'too_long' else 'accepted' end as outcome, count(*) as n from documents group by 1")
 def intake_checks(s, d):
     good, bad = private.intake(load(s, d, "documents").select("doc_id", F.col("text").alias("body")))
     return good.select(F.lit("accepted").alias("outcome")).unionByName(bad.select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-@query("resubmissions", "select sha256(regexp_replace(text, '[\\s\\x{00A0}\\x{3000}]+', '', 'g')) as body_hash, min(doc_id) as private_id, count(*) as submissions from documents where regexp_matches(coalesce(text, ''), '[^\\s\\x{00A0}\\x{3000}]') and length(text) <= 30000 group by 1")
+@query("resubmissions", f"""with g as (select *, sha256(regexp_replace(text, {GAP}, '', 'g')) as body_hash from documents where {_HAS} and length(text) <= 30000),
+ n as (select body_hash, title as note, min(published_at) as t0 from g where length(regexp_replace(coalesce(title, ''), {GAP}, '', 'g')) > 0 group by 1, 2)
+select body_hash, min(doc_id) as private_id, count(*) as submissions, cast(epoch(min(published_at)) as bigint) as first_at, cast(epoch(max(published_at)) as bigint) as last_at, coalesce(any_value(notes), '') as notes
+ from g left join (select body_hash, string_agg(note, chr(10) order by t0 asc nulls first, note) as notes from n group by 1) using (body_hash) group by body_hash""")
 def resubmissions(s, d):
+    """One record per body, with its first and last submission and its different notes in order of time."""
     good, _ = private.intake(load(s, d, "documents").select(F.col("doc_id").alias("private_id"), F.col("text").alias("body"), F.col("title").alias("user_note"), F.col("published_at").alias("submitted_at")))
-    return private.merged(good).select("body_hash", "private_id", "submissions")
+    return private.merged(good).select("body_hash", "private_id", "submissions", F.unix_seconds("first_at").alias("first_at"), F.unix_seconds("last_at").alias("last_at"), "notes")
 
 
-@query("pending_records", "select article_seq from articles where classification_status in ('pending', 'error')")
+@query("pending_records", "select article_seq from articles where classification_status in ('stored', 'queued', 'needs_review', 'failed', 'pending', 'error')")
 def pending_records(s, d):
-    return load(s, d, "articles").where(F.col("classification_status").isin("pending", "error")).select("article_seq")
+    """Rows whose state is one of those that wait, of private texts or of the store."""
+    return load(s, d, "articles").where(F.col("classification_status").isin(*private.PENDING, "pending", "error")).select("article_seq")
 
 
 _HEAD = f"select article_seq as seq, {SQL_HOST} as source_domain, substr(coalesce(description, ''), 1, 200) as public_excerpt, coalesce(description, '') <> '' as body_available, sha256({sql_norm('title_original')}) as title_hash from articles"

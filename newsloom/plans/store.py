@@ -9,6 +9,7 @@ from ..functions import times
 from ..operators.search import search
 from ..tables import load
 from .common import Registry, now_column
+from .scalars import sql_ts
 
 query = Registry()
 ORDER = "order by published_at_utc desc nulls last, article_seq limit"
@@ -80,19 +81,46 @@ def upsert_incoming(s, d):
     return load(s, d, "articles").select("article_id", F.col("article_seq").alias("r")).unionByName(new).groupBy("article_id").agg(F.max("r").alias("row_no"), F.count("*").alias("deliveries"))
 
 
-@query("store_status", "select count(*) as articles, count_if(fetched_at_utc >= '2026-07-10') as new_articles, count(distinct source_domain) as domains, max(published_at_utc) as latest from articles")
+_SINCE = "2026-07-14T00:00:00+00:00"  # a day before NOW, compared as text like every time of the store
+
+
+def tank_status(articles, quarantined: int = 0, since: str = _SINCE):
+    """(total_articles, new_articles_24h, source_count, latest_article_at, storage_status) of a store of which so many
+    files are in quarantine."""
+    x = articles.agg(F.count("*").alias("total_articles"), F.count_if(F.col("published_at_utc") >= since).alias("new_articles_24h"), F.count_distinct("source_domain").alias("source_count"), F.coalesce(F.max("published_at_utc"), F.lit("")).alias("latest_article_at"))
+    return x.withColumn("storage_status", F.lit("degraded" if quarantined > 0 else "healthy"))
+
+
+@query("store_status", f"select count(*) as total_articles, count_if(published_at_utc >= '{_SINCE}') as new_articles_24h, count(distinct source_domain) as source_count, coalesce(max(published_at_utc), '') as latest_article_at, 'healthy' as storage_status from articles")
 def store_status(s, d):
-    return load(s, d, "articles").agg(F.count("*").alias("articles"), F.count_if(F.col("fetched_at_utc") >= "2026-07-10").alias("new_articles"), F.count_distinct("source_domain").alias("domains"), F.max("published_at_utc").alias("latest"))
+    """The tables are read whole, so nothing is in quarantine; tests hold the other case."""
+    return tank_status(load(s, d, "articles"))
 
 
-@query("cursors", "select source_name, last_http_status, consecutive_failures, last_success_count, coalesce(epoch(try_cast(nullif(trim(next_retry_at), '') as timestamptz)) <= epoch(timestamp '2026-07-15'), true) as retry_now from source_cursors")
+@query("cursors", "select source_name, last_fetch_started_at, last_fetch_completed_at, latest_published_at, latest_article_id, etag, last_modified, last_http_status, consecutive_failures, last_success_count, coalesce(epoch(try_cast(nullif(trim(next_retry_at), '') as timestamptz)) <= epoch(timestamp '2026-07-15'), true) as retry_now from source_cursors")
 def cursors(s, d):
-    return load(s, d, "source_cursors").select("source_name", "last_http_status", "consecutive_failures", "last_success_count", times.should_retry(F.col("next_retry_at"), now_column()).alias("retry_now"))
+    kept = ["source_name", "last_fetch_started_at", "last_fetch_completed_at", "latest_published_at", "latest_article_id", "etag", "last_modified", "last_http_status", "consecutive_failures", "last_success_count"]
+    return load(s, d, "source_cursors").select(*kept, times.should_retry(F.col("next_retry_at"), now_column()).alias("retry_now"))
 
 
-@query("source_health", "select source_name, consecutive_failures, last_http_status, last_error from source_cursors order by consecutive_failures desc nulls last, source_name limit 100")
+@query("fetch_from", f"select source_name, cast(floor({sql_ts('latest_published_at')}) as bigint) - 48 * 3600 as from_epoch from source_cursors")
+def fetch_from(s, d):
+    """Where each source's next run begins: its latest article less the overlap, null where there is none."""
+    return load(s, d, "source_cursors").select("source_name", F.unix_seconds(times.fetch_from(F.col("latest_published_at"))).alias("from_epoch"))
+
+
+@query("source_health", "select source_name, last_fetch_completed_at, consecutive_failures, last_http_status from source_cursors order by consecutive_failures desc nulls last, source_name limit 100")
 def source_health(s, d):
-    return load(s, d, "source_cursors").select("source_name", "consecutive_failures", "last_http_status", "last_error").orderBy(F.col("consecutive_failures").desc_nulls_last(), "source_name").limit(100)
+    return load(s, d, "source_cursors").select("source_name", "last_fetch_completed_at", "consecutive_failures", "last_http_status").orderBy(F.col("consecutive_failures").desc_nulls_last(), "source_name").limit(100)
+
+
+@query("rebuild_index", f"select article_id, article_seq, {SHARD} as shard_date, primary_category, source_domain, source_trust, published_at_utc, canonical_hash, title_hash, content_hash from articles qualify row_number() over (partition by article_id order by {SHARD} desc nulls last, article_seq desc) = 1")
+def rebuild_index(s, d):
+    """The index as it comes out of the shards in order of their day: of each id the last row."""
+    kept = ["primary_category", "source_domain", "source_trust", "published_at_utc", "canonical_hash", "title_hash", "content_hash"]
+    x = load(s, d, "articles").select("article_id", "article_seq", shard_date().alias("shard_date"), *kept)
+    last = x.groupBy("article_id").agg(F.max(F.struct("shard_date", "article_seq")).alias("last"))
+    return last.select("last.article_seq").join(x, "article_seq").select("article_id", "article_seq", "shard_date", *kept)
 
 
 @query("newest_per_source", "select source_name, article_seq from articles where published_at_utc <> '' qualify row_number() over (partition by source_name order by published_at_utc desc, article_seq) = 1")

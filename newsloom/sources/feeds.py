@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import codecs
-import html
 import re
 import xml.etree.ElementTree as ET
 from urllib.parse import urljoin
@@ -11,6 +10,8 @@ from urllib.parse import urljoin
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..functions.text import plain
+
 MAX_TEXT = 400
 ITEM = "title string, url string, description string, published_raw string, updated_raw string, source string"
 _BOMS = [(codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")]
@@ -30,12 +31,6 @@ def decode(content: bytes) -> str:
     return content.decode("utf-8", "replace")
 
 
-def plain(text: str | None) -> str:
-    """Without tags and entities, runs of white space one blank."""
-    x = re.sub(r"<[^>]+>", " ", html.unescape(text or ""))
-    return " ".join(html.unescape(x).split())
-
-
 def local(tag) -> str:
     return tag.rpartition("}")[2] if isinstance(tag, str) else ""
 
