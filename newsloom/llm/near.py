@@ -13,7 +13,7 @@ from ..functions.text import joined_text, normalize_text
 from ..functions.url import address_key
 from ..session import cut, shared_path
 from .components import merge_representatives, representatives
-from .signatures import FUNCTIONS, SHINGLE, checked, forest, neighbours
+from .signatures import FUNCTIONS, ROW, SHINGLE, checked, forest, neighbours
 
 ALIKE = 0.60
 TREES = 24
@@ -89,7 +89,7 @@ class History:
         "addresses": ("kh", "kh long, key string, first long"),
         "hashes": ("h1", "h1 long, h2 long, first long"),
         "texts": ("id", "id long, text string, " + ", ".join(f"{c} long" for c in FIELDS)),
-        "keys": ("k", "k long, id long, w1 long, w2 long, n int"),
+        "keys": ("k", ROW),
         "reps": ("id", "id long, rep long"),
         "members": ("rep", "rep long, id long"),
     }

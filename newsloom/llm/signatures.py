@@ -15,8 +15,10 @@ SHINGLE = 5
 FUNCTIONS = 64
 DEPTH = 3
 BOUND = 512
-SUBTREES, STEP, LEVELS = 24, 4, 3
-LEAST_MATCHES = 32  # of a pair alike by just 0.60 that shares a region, fewer than one in 20,000 has less
+SUBTREES, STEP, LEVELS = 24, 3, 3
+LEAST_MATCHES = 30  # of the pairs alike by just 0.60 that share a region, 0.02 % have less
+ROW = "k long, id long, w0 long, w1 long, w2 long, n int"
+SKETCH = ["w0", "w1", "w2"]
 _U = np.uint64
 
 
@@ -67,11 +69,12 @@ def minhashes(texts: list[str], mul: np.ndarray, xor: np.ndarray) -> tuple[np.nd
 
 
 def forest(texts: DataFrame, trees: int) -> DataFrame:
-    """texts (id, text) to the rows of the forest's trees: (k, id, w1, w2, n).
+    """texts (id, text) to the rows of the forest's trees: (k, id, w0, w1, w2, n).
 
-    k is the tree with its first DEPTH values, w1 and w2 two bits of every value, n the number of stretches. Texts
-    under 5 characters are in no tree.
+    k is the tree with its first DEPTH values, each of w0, w1 and w2 one bit of all values, n the number of stretches.
+    Texts under 5 characters are in no tree.
     """
+    place = (np.uint64(1) << np.arange(FUNCTIONS, dtype=np.uint64)).astype(np.uint64)
     mul, xor, perm = _constants(trees)
 
     def rows(batches):
@@ -81,9 +84,8 @@ def forest(texts: DataFrame, trees: int) -> DataFrame:
                 at, n, sig = minhashes(texts_[lo : lo + 500], mul, xor)
                 if not len(at):
                     continue
-                sym = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(30)).astype(np.uint64)
-                shift = (2 * np.arange(32)).astype(np.uint64)
-                w1, w2 = (sym[:, :32] << shift).sum(1, dtype=np.uint64), (sym[:, 32:] << shift).sum(1, dtype=np.uint64)
+                sym = (sig * np.uint32(0x9E3779B1)) >> np.uint32(29)
+                planes = [np.where((sym >> np.uint32(b)) & np.uint32(1), place, _U(0)).sum(1, dtype=np.uint64) for b in range(3)]
                 big = sig.astype(np.uint64)
                 m = len(at)
                 k = np.empty((trees, m), np.uint64)
@@ -94,11 +96,11 @@ def forest(texts: DataFrame, trees: int) -> DataFrame:
                     k[t] = x
                 tiled = lambda x: pa.array(np.tile(x, trees))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k.ravel().view(np.int64)), tiled(ids[lo : lo + 500][at]), tiled(w1.view(np.int64)), tiled(w2.view(np.int64)), tiled(n.astype(np.int32))],
-                    ["k", "id", "w1", "w2", "n"],
+                    [pa.array(k.ravel().view(np.int64)), tiled(ids[lo : lo + 500][at]), *(tiled(w.view(np.int64)) for w in planes), tiled(n.astype(np.int32))],
+                    ["k", "id", *SKETCH, "n"],
                 )
 
-    return texts.select("id", "text").mapInArrow(rows, "k long, id long, w1 long, w2 long, n int")
+    return texts.select("id", "text").mapInArrow(rows, ROW)
 
 
 def neighbours(rows: DataFrame, alike: float, fresh: bool = False, bound: int = BOUND, levels: int = LEVELS) -> DataFrame:
@@ -114,7 +116,7 @@ def neighbours(rows: DataFrame, alike: float, fresh: bool = False, bound: int =
     while True:
         out = cut(regions(rows, alike, fresh, bound), "regions")
         found.append(out.where("m is not null").select("a", "b", "m", "ratio"))
-        dense = out.where("m is null").select("k", F.col("a").alias("id"), "w1", "w2", "n")
+        dense = out.where("m is null").select("k", F.col("a").alias("id"), *SKETCH, "n")
         if dense.isEmpty():
             break
         if level == levels:
@@ -126,7 +128,7 @@ def neighbours(rows: DataFrame, alike: float, fresh: bool = False, bound: int =
 
 def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> DataFrame:
     """One level: candidates (a, b, m, ratio) of the regions of up to `bound` rows, and the rows of denser ones as
-    (k, a, w1, w2, n) with m null. Tasks stream rows in order of k and keep one region of up to `bound` rows."""
+    (k, a, w0, w1, w2, n) with m null. Tasks stream rows in order of k and keep one region of up to `bound` rows."""
 
     def near(batches):
         carry = None  # the last region, which may go on
@@ -134,7 +136,7 @@ def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> Da
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
             if flood is not None:
                 end = int(np.searchsorted(cols[0], flood, "right"))
                 if end:
@@ -155,7 +157,7 @@ def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> Da
             yield from compare(carry)
 
     def compare(cols):
-        k, ids, w1, w2, n = cols
+        k = cols[0]
         if not len(k):
             return
         begins = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
@@ -166,8 +168,8 @@ def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> Da
         keep = size > 1 if bound is None else (size > 1) & (size <= bound)
         if not keep.any():
             return
-        k, ids, w1, w2, n = (c[keep] for c in cols)
-        w1, w2 = w1.view(np.uint64), w2.view(np.uint64)
+        k, ids, *w, n = (c[keep] for c in cols)
+        w = [x.view(np.uint64) for x in w]
         begins = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
         start = np.repeat(begins, np.diff(np.concatenate((begins, [len(k)]))))
         live, v, held = np.arange(len(k)), 0, 0
@@ -183,10 +185,7 @@ def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> Da
             if fresh:
                 some &= (np.maximum(ids[i], ids[j]) & 1) == 1
             i, j, ratio = i[some], j[some], (low[some] / high[some]).astype(np.float32)
-            off = np.zeros(len(i), np.int32)
-            for x in (w1, w2):
-                d = x[i] ^ x[j]
-                off += np.bitwise_count((d | (d >> _U(1))) & _U(0x5555555555555555)).astype(np.int32)
+            off = np.bitwise_count((w[0][i] ^ w[0][j]) | (w[1][i] ^ w[1][j]) | (w[2][i] ^ w[2][j])).astype(np.int32)
             ok = (FUNCTIONS - off >= LEAST_MATCHES) & (ids[i] != ids[j])
             if ok.any():
                 x, y = ids[i[ok]], ids[j[ok]]
@@ -198,8 +197,8 @@ def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> Da
         if pairs:
             yield batch(pairs)
 
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-    names = ["a", "b", "m", "ratio", "k", "w1", "w2", "n"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float32(), *[pa.int64()] * 4, pa.int32()]
+    names = ["a", "b", "m", "ratio", "k", *SKETCH, "n"]
 
     def batch(pairs):
         x = [np.unique(np.rec.fromarrays([np.concatenate(c) for c in zip(*pairs)]))] if pairs else []
@@ -207,35 +206,36 @@ def regions(rows: DataFrame, alike: float, fresh: bool, bound: int | None) -> Da
         return pa.RecordBatch.from_arrays(cols + [pa.nulls(len(cols[0]), t) for t in kinds[4:]], names)
 
     def dense(cols):
-        k, ids, w1, w2, n = (pa.array(c) for c in cols)
+        k, ids, *rest = (pa.array(c) for c in cols)
         none = [pa.nulls(len(k), t) for t in kinds[1:4]]
-        return pa.RecordBatch.from_arrays([ids, *none, k, w1, w2, n], names)
+        return pa.RecordBatch.from_arrays([ids, *none, k, *rest], names)
 
-    spread = rows.select("k", "id", "w1", "w2", "n").repartition("k").sortWithinPartitions("k")
-    return spread.mapInArrow(near, "a long, b long, m int, ratio float, k long, w1 long, w2 long, n int")
+    spread = rows.select("k", "id", *SKETCH, "n").repartition("k").sortWithinPartitions("k")
+    return spread.mapInArrow(near, "a long, b long, m int, ratio float, k long, w0 long, w1 long, w2 long, n int")
 
 
 def deeper(dense: DataFrame, level: int) -> DataFrame:
-    """Rows of dense regions in SUBTREES orders of their region, by STEP more values, two bits of each.
+    """Rows of dense regions in SUBTREES orders of their region, by STEP more values, three bits of each.
 
-    A pair alike by 0.60 has such a value in common with 0.7, so it shares none of the deeper regions with
-    (1 - 0.7 ** STEP) ** SUBTREES, 0.14 %."""
+    A pair alike by 0.60 has such a value in common with 0.65, so it shares none of the deeper regions with
+    (1 - 0.65 ** STEP) ** SUBTREES, 0.05 %."""
     places = np.random.default_rng(977 + level).permuted(np.tile(np.arange(FUNCTIONS), (SUBTREES, 1)), axis=1)[:, :STEP]
 
     def rows(batches):
         for b in batches:
-            k, ids, w1, w2, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            u = (w1.view(np.uint64), w2.view(np.uint64))
+            k, ids, *w, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+            u = [x.view(np.uint64) for x in w]
             sub = np.empty((SUBTREES, len(k)), np.uint64)
             for t in range(SUBTREES):
                 x = _mix(k.view(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(t + 1 + 1000 * (level + 1)))
                 for f in places[t]:
-                    x = _mix(x * _U(0x9E3779B97F4A7C15) + ((u[f // 32] >> _U(2 * (f % 32))) & _U(3)))
+                    symbol = sum((((p >> _U(f)) & _U(1)) << _U(b) for b, p in enumerate(u)), _U(0))
+                    x = _mix(x * _U(0x9E3779B97F4A7C15) + symbol)
                 sub[t] = x
-            cols = [pa.array(sub.ravel().view(np.int64)), *(pa.array(np.tile(c, SUBTREES)) for c in (ids, w1, w2, n))]
-            yield pa.RecordBatch.from_arrays(cols, ["k", "id", "w1", "w2", "n"])
+            cols = [pa.array(sub.ravel().view(np.int64)), *(pa.array(np.tile(c, SUBTREES)) for c in (ids, *w, n))]
+            yield pa.RecordBatch.from_arrays(cols, ["k", "id", *SKETCH, "n"])
 
-    return dense.select("k", "id", "w1", "w2", "n").mapInArrow(rows, "k long, id long, w1 long, w2 long, n int")
+    return dense.select("k", "id", *SKETCH, "n").mapInArrow(rows, ROW)
 
 
 def blocks(dense: DataFrame, bound: int) -> DataFrame:
@@ -244,7 +244,7 @@ def blocks(dense: DataFrame, bound: int) -> DataFrame:
     n = dense.groupBy("k").agg(F.ceil(F.count("*") / bound).cast("int").alias("parts"))
     x = dense.join(n, "k").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return x.select(F.xxhash64("k", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "id", "w1", "w2", "n")
+    return x.select(F.xxhash64("k", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "id", *SKETCH, "n")
 
 
 def checked(pairs: DataFrame, texts: DataFrame, alike: float) -> DataFrame:
@@ -256,7 +256,7 @@ def checked(pairs: DataFrame, texts: DataFrame, alike: float) -> DataFrame:
         for x in batches:
             keep, seen = [], {}
             for p, q, s, t in zip(*(x.column(i).to_pylist() for i in range(4))):
-                if len(seen) > 4096:
+                if len(seen) > 256:
                     seen.clear()
                 u = seen.get(p) or seen.setdefault(p, shingles_of(s))
                 v = seen.get(q) or seen.setdefault(q, shingles_of(t))
