@@ -118,7 +118,7 @@ class History:
     def of(cls, rows: DataFrame, path: str | None = None, trees: int = PROBE_TREES) -> History:
         """A new one with rows (row, url, text and FIELDS, if any)."""
         history = cls.create(rows.sparkSession, path, trees=trees)
-        history.accept(Batch(history, rows))
+        history._take(_keyed(rows), cut(_classes(_keyed(rows)).withColumn("id", F.col("first") * 2), "classes"), None)
         return history
 
     def table(self, name: str) -> DataFrame:
@@ -139,13 +139,15 @@ class History:
         return self.table(name).join(keys.hint("shuffle_hash"), key, "left_semi")
 
     def accept(self, batch: Batch) -> None:
-        """Adds a batch, probed or not; nothing accepted before is read or written."""
+        """Adds a probed batch; nothing accepted before is read or written."""
+        self._take(batch.rows, batch.classes.where("id is not null"), batch.sketches)
+
+    def _take(self, rows: DataFrame, fresh: DataFrame, sketches: DataFrame | None) -> None:
         even = lambda d: d.withColumn("id", F.col("id") - F.pmod("id", F.lit(2)))
-        self.add("addresses", batch.rows.where("key is not null").groupBy("kh", "key").agg(F.min("row").alias("first")))
-        fresh = batch.classes.where("id is not null")
-        self.add("hashes", fresh.select("h1", "h2", "first"))
+        self.add("addresses", rows.where("key is not null").groupBy("kh", "key").agg(F.min("row").alias("first")))
+        self.add("hashes", fresh)
         self.add("texts", even(fresh))
-        self.add("keys", even(batch.sketches))
+        self.add("keys", even(forest(fresh.select("id", "text"), self.trees) if sketches is None else sketches))
 
     def merge(self, links: DataFrame) -> None:
         """Takes over new links (a, b) of deliveries: only the clusters they touch are read, and only rows of those that
@@ -169,18 +171,14 @@ class Batch:
 
     def __init__(self, history: History, incoming: DataFrame, settle: bool = False):
         self.history = history
-        fields = [(F.xxhash64(F.when(F.col(c) != "", F.col(c))) if c in incoming.columns else F.lit(None)).cast("bigint").alias(c) for c in FIELDS]
-        fields = [F.when(F.col(c) != "", f).alias(c) if c in incoming.columns else f for c, f in zip(FIELDS, fields)]
-        key, sized = address_key(F.col("url")), F.length("text") >= SHINGLE
-        hashes = [F.when(sized, F.xxhash64("text")).alias("h1"), F.when(sized, F.xxhash64("text", F.lit(1))).alias("h2")]
-        new = cut(incoming.select("row", key.alias("key"), F.xxhash64(key).alias("kh"), *hashes, "text", *fields), "incoming")
+        new = cut(_keyed(incoming), "incoming")
         self.rows, self.few = new, settle and len(new.limit(FEW + 1).collect()) <= FEW
         known = history.lookup("addresses", new.where("key is not null").select("kh"), self.few)
         seen = known.select("kh", "key", "first").unionByName(new.where("key is not null").select("kh", "key", F.col("row").alias("first")))
         seen = seen.groupBy("kh", "key").agg(F.min("first").alias("first"))
         self.by_address = new.select("row", "kh", "key").join(seen, ["kh", "key"]).where("first < row").select("row", F.lit("address").alias("kind"), "first")
 
-        mine = new.where("h1 is not null").groupBy("h1", "h2").agg(F.min("row").alias("row0"), F.min("text").alias("text"), *(F.min_by(c, "row").alias(c) for c in FIELDS))
+        mine = _classes(new).withColumnRenamed("first", "row0")
         had = history.lookup("hashes", mine.select("h1"), self.few).select("h1", "h2", "first")
         mine = mine.join(had, ["h1", "h2"], "left").join(self.by_address.select(F.col("row").alias("row0"), F.lit(True).alias("settled")), "row0", "left")
         asks = F.lit(1) if not settle else F.when(F.col("settled"), 0).otherwise(1)
@@ -236,6 +234,19 @@ class Batch:
         return both.groupBy("b").agg(F.min("a").alias("a")).select(_first("b").alias("row"), F.lit("near").alias("kind"), _first("a").alias("first"))
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """rows (row, url, text and FIELDS, if any) with the keys of address and text (null for none) and FIELDS as hashes."""
+    key, sized = address_key(F.col("url")), F.length("text") >= SHINGLE
+    hashes = [F.when(sized, F.xxhash64("text")).alias("h1"), F.when(sized, F.xxhash64("text", F.lit(1))).alias("h2")]
+    fields = [F.when(F.col(c) != "", F.xxhash64(c)).alias(c) if c in rows.columns else F.lit(None).cast("bigint").alias(c) for c in FIELDS]
+    return rows.select("row", key.alias("key"), F.xxhash64(key).alias("kh"), *hashes, "text", *fields)
+
+
+def _classes(keyed: DataFrame) -> DataFrame:
+    """(h1, h2, first, text and FIELDS of the first): the different texts."""
+    return keyed.where("h1 is not null").groupBy("h1", "h2").agg(F.min("row").alias("first"), F.min("text").alias("text"), *(F.min_by(c, "row").alias(c) for c in FIELDS))
+
+
 def _first(c: str) -> Column:
     return F.floor(F.col(c) / 2).cast("bigint")
 
