@@ -56,6 +56,7 @@ def resembling() -> dict[str, tuple[str, ...]]:
 
 
 RESEMBLING = resembling()
+DOUBTFUL, PLAIN = frozenset(RESEMBLING), re.compile("[A-Za-z]")
 
 
 def normal(text: str) -> str:
@@ -122,19 +123,27 @@ class Speller:
 
     def read(self, t: str) -> tuple[str, int, int]:
         """The run's spelling, whether it is a word's, and whether the table alone would give another."""
-        doubtful = sum(c in RESEMBLING for c in t)
-        plain = any(c.isascii() for c in t)
-        word = self.trie.spell(t, RESEMBLE * doubtful if plain and 2 * doubtful <= len(t) and len(t) > 2 else 0.0)
+        doubtful = 0 if DOUBTFUL.isdisjoint(t) else sum(c in DOUBTFUL for c in t)
+        some = doubtful and 2 * doubtful <= len(t) and len(t) > 2 and PLAIN.search(t)
+        word = self.trie.spell(t, RESEMBLE * doubtful if some else 0.0)
         table = normal(t)
         return (table, 0, 0) if word is None else (word[0], 1, int(word[0] != table))
 
-    def letters(self, m: re.Match) -> str:
+    def token(self, m: re.Match) -> str:
         t = m[0]
         if t.isascii():
             return t
         if (x := self.known.get(t)) is None:
-            x = self.read(t)
-            if len(t) < 40:
+            words = changed = 0
+            parts, at = [], 0
+            for run in LETTERS.finditer(t):
+                if not run[0].isascii():
+                    spelled, by_word, differs = self.read(run[0])
+                    words, changed = words + by_word, changed + differs
+                    parts += [t[at : run.start()], spelled]
+                    at = run.end()
+            x = (normal("".join(parts) + t[at:]), words, changed)
+            if len(t) < 80:
                 if len(self.known) > 100_000:
                     self.known.clear()
                 self.known[t] = x
@@ -142,14 +151,11 @@ class Speller:
         self.changed += x[2]
         return x[0]
 
-    def token(self, m: re.Match) -> str:
-        return m[0] if m[0].isascii() else LETTERS.sub(self.letters, m[0]).translate(TABLE)
-
     def text(self, text: str) -> str:
         """The text in its one form; marks that begin a run join what stands before."""
         if text.isascii():
             return text
-        return unicodedata.normalize("NFC", unicodedata.normalize("NFD", BLANKS.sub(self.token, text)).translate(TABLE))
+        return unicodedata.normalize("NFC", BLANKS.sub(self.token, text))
 
 
 def speller(content: bytes) -> Speller:
