@@ -7,7 +7,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import views
+
 SUBSETS = 6
+KINDS = ("countries", "companies", "commodities", "geopolitical_entities")
 
 
 def entities(*columns: str) -> Column:
@@ -105,3 +108,11 @@ def by_subsets(current: DataFrame, past: DataFrame, top: int, lookback_days: int
     rows = rows.repartition("s", "n").sortWithinPartitions("s", "n", "t", "past")  # a row of the same second isn't past
     found = rows.mapInArrow(near, "cur long, old long, tc long, tp long, overlap double")
     return found.select(F.col("cur").cast(current.schema["cur"].dataType), F.col("old").cast(past.schema["old"].dataType), F.timestamp_seconds("tc").alias("tc"), F.timestamp_seconds("tp").alias("tp"), "overlap")
+
+
+def context(found: DataFrame, articles: DataFrame, seq: str) -> DataFrame:
+    """What may be shown of matches (cur, old, relevance, rank): (cur, rank) and the nine columns of the past article, with
+    the entities both have."""
+    mine = articles.select(F.col(seq).alias("cur"), entities(*KINDS).alias("_mine"))
+    x = found.join(mine, "cur").join(articles.withColumn("_theirs", entities(*KINDS)), found.old == F.col(seq))
+    return x.select("cur", "rank", *views.context_view(F.array_sort(F.array_intersect("_mine", "_theirs")), F.col("relevance")))

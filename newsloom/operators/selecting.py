@@ -6,6 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scoring, times
+from ..functions.scoring import number
+from ..session import cut
+
 
 def caps(target: int, source_share: float, theme_share: float) -> tuple[int, int]:
     return max(1, int(target * source_share)), max(1, int(target * theme_share))
@@ -41,7 +45,7 @@ def select_diverse(rows: DataFrame, score: Column, target: int, max_source_share
     bound = F.when(F.coalesce("cluster", F.lit("")) == "", min(source_cap, theme_cap)).otherwise(min(source_cap, theme_cap, max_cluster))
     w = Window.partitionBy("src", "theme", "cluster").orderBy(F.col("score").desc(), "article_seq")
     x = x.withColumn("r", F.row_number().over(w)).where(F.col("r") <= min(source_cap, theme_cap)).where(F.col("r") <= bound).drop("r")
-    best = x.orderBy(F.col("score").desc(), "article_seq")
+    best = cut(x, "candidates").orderBy(F.col("score").desc(), "article_seq")  # the scores are made once
 
     def fold(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(["score", "article_seq"], ascending=[False, True], kind="stable")
@@ -53,3 +57,17 @@ def select_diverse(rows: DataFrame, score: Column, target: int, max_source_share
         if out.count() == target or best.limit(size + 1).count() <= size:
             return out
         size *= 8
+
+
+def retrieval_scores(articles: DataFrame, reactions: DataFrame, now: Column) -> DataFrame:
+    """(article_seq, src, theme, cluster, score): what the selection goes by. reactions: (event_cluster_id, has_reaction,
+    magnitude); a row without one has none. Freshness is that of `now`; null and NaN scores count as 0."""
+    half = (number(F.col("importance_score")) + number(F.col("market_impact_score"))) / 2
+    parts = {
+        "relevance": F.when(half == 0, 0.5).otherwise(F.least(F.lit(1.0), half)), "market_reaction": scoring.reaction(F.coalesce("has_reaction", F.lit(False)), F.coalesce("magnitude", F.lit(0.0))),
+        "freshness": times.freshness(times.parse_iso(F.col("published_at_utc")), now), "source_trust": number(F.col("source_trust")), "urgency": number(F.col("urgency_score")), "structural": number(F.col("structural_score")),
+        "independent_source_confirmation": scoring.confirmation(F.lit(1)),
+    }
+    theme = F.coalesce(F.try_element_at("themes", F.lit(1)), F.col("primary_category"))
+    x = articles.join(reactions.select("event_cluster_id", "has_reaction", "magnitude"), "event_cluster_id", "left")
+    return x.select("article_seq", F.col("source_domain").alias("src"), theme.alias("theme"), F.col("event_cluster_id").alias("cluster"), scoring.retrieval(parts).alias("score"))

@@ -130,10 +130,13 @@ def jst_to_utc(s, d):
 SQL_AGE = f"({sql_ts('published_at_utc')})"
 
 
-@query("date_sanitize", f"""
+SQL_SANE = f"""
 with x as (select article_seq, published_at_utc p, coalesce(raw_published_at, '') r, fetched_at_utc f, {SQL_AGE} t, epoch(timestamp '{NOW}') n from articles),
 y as (select *, case when trim(coalesce(p, '')) = '' and trim(r) = '' then 'missing' when t is null then 'unparsable' when t > n + 86400 then 'future' when t < n - 365 * 20 * 86400 then 'too_old' else '' end a from x)
-select article_seq, case when a = '' then p else f end as published, a <> '' as inferred, case when a = '' then '' else r end as raw, a as anomaly from y""")
+select article_seq, case when a = '' then p else f end as published, a <> '' as inferred, case when a = '' then '' else r end as raw, a as anomaly from y"""
+
+
+@query("date_sanitize", SQL_SANE)
 def date_sanitize(s, d):
     x = times.sanitize_published(F.col("published_at_utc"), F.col("raw_published_at"), F.col("fetched_at_utc"), now_column())
     return load(s, d, "articles").select("article_seq", x.alias("x")).select("article_seq", "x.published", "x.inferred", "x.raw", "x.anomaly")

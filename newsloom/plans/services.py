@@ -5,37 +5,42 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import pipeline
-from ..functions import views
-from ..operators import building, private
+from ..functions import classify, times, views
+from ..functions.scoring import number
+from ..operators import building, history, private
 from ..sources import apis, feeds
 from ..tables import load
 from . import rollups, store
 from .common import Registry, now_column
-from .scalars import GAP, SQL_HOST, classified_sql, sql_norm
+from .scalars import GAP, SQL_HOST, SQL_SANE, SQL_URL, classified_sql, sql_norm
 
 query = Registry()
 _DT = "case article_seq % 4 when 0 then '120' when 1 then '350' when 2 then '180' else '999' end"
 _KIND = "case article_seq % 4 when 0 then 'earnings' when 1 then 'large_shareholding' end"
+SQL_BY_TEXT = "case " + " ".join(f"when regexp_matches(x, '{'|'.join(classify.pattern(w) for w in ws)}') then '{k}'" for k, ws in classify.DISCLOSURES) + " else 'other' end"
+_HIGH = ", ".join(f"'{x}'" for x in classify.HIGH)
 
 
-@query("edinet_map", f"select article_id as doc_id, coalesce(nullif(trim(title_original), ''), coalesce(source_name, '') || '（' || coalesce(source_country, '')) is not null as titled, coalesce(source_name, '') as company_name, coalesce({_KIND}, 'by_text') as kind, article_seq % 3 = 0 as is_correction from articles where article_id <> '' and article_seq % 10 <> 9")
+@query("edinet_map", f"""select article_id as doc_id, coalesce(nullif(t, ''), regexp_replace(src || '（' || dt || '）', '^[（）]+|[（）]+$', '', 'g')) as title, 'https://disclosure2.edinet-fsa.go.jp/WEEK0010.aspx?docID=' || article_id as url, substr(t, 1, 400) as description, '2026-07-01T00:30:00+00:00' as published_at_utc, '2026-07-01 09:30' as published_raw,
+ src as company_name, coalesce({_KIND}, k) as disclosure_type, case when k = 'other' then 'low' when k in ({_HIGH}) then 'high' else 'medium' end as materiality, article_seq % 3 = 0 as is_correction from (select *, {SQL_BY_TEXT} k from (select article_id, article_seq, coalesce(title_original, '') t, coalesce(source_name, '') src, {_DT} dt, lower(coalesce(title_original, '') || ' ' || {_DT}) x from articles where article_seq % 10 <> 9 and coalesce(trim(article_id), '') <> ''))""")
 def edinet_map(s, d):
-    """The store written as disclosure payloads and read back."""
+    """The store written as disclosure payloads and read back; documents without an id are none."""
     doc = F.struct(F.col("article_id").alias("docID"), F.col("source_country").alias("edinetCode"), F.col("source_name").alias("filerName"), F.expr(_DT).alias("docTypeCode"), F.col("title_original").alias("docDescription"), F.lit("2026-07-01 09:30").alias("submitDateTime"), F.when(F.col("article_seq") % 10 == 9, "1").otherwise("0").alias("withdrawalStatus"), F.when(F.col("article_seq") % 3 == 0, "P").alias("parentDocID"))
-    body = load(s, d, "articles").where("article_id <> ''").select(F.lit("u").alias("url"), F.to_json(F.struct(F.array(doc).alias("results"))).alias("body"))
-    x = apis.edinet(body)
-    known = F.col("disclosure_type").isin("earnings", "large_shareholding") & F.lit(True)
-    return x.select("doc_id", F.col("title").isNotNull().alias("titled"), "company_name", F.when(known, F.col("disclosure_type")).otherwise("by_text").alias("kind"), "is_correction")
+    body = load(s, d, "articles").select(F.lit("u").alias("url"), F.to_json(F.struct(F.array(doc).alias("results"))).alias("body"))
+    return apis.edinet(body).select("doc_id", "title", "url", "description", "published_at_utc", "published_raw", "company_name", "disclosure_type", "materiality", "is_correction")
 
 
-@query("estat_map", "select doc_id, case when contains(x, 'copper') then 'copper' when contains(x, 'freight') then 'freight' end as category, src as gov_org from (select cast(doc_id as varchar) as doc_id, coalesce(source, '') as src, coalesce(category, '') || ' ' || coalesce(title, '') as x from documents) where contains(x, 'copper') or contains(x, 'freight')")
+_ESTAT = "select cast(doc_id as varchar) as doc_id, coalesce(source, '') as gov_org, trim(coalesce(category, '') || ' ' || coalesce(title, '')) as series_name from documents"
+
+
+@query("estat_map", f"select doc_id, '[統計更新] ' || series_name as title, 'https://www.e-stat.go.jp/dbview?sid=' || doc_id as url, substr(series_name, 1, 400) as description, series_name, gov_org, case when contains(series_name, 'copper') then 'copper' else 'freight' end as category from ({_ESTAT}) where contains(series_name, 'copper') or contains(series_name, 'freight')")
 def estat_map(s, d):
     text = lambda c: F.struct(F.coalesce(F.col(c), F.lit("")).alias("$"))
-    t = F.struct(F.col("doc_id").cast("string").alias("@id"), text("category").alias("STAT_NAME"), text("title").alias("TITLE"), text("source").alias("GOV_ORG"))
+    t = F.struct(F.col("doc_id").cast("string").alias("@id"), text("category").alias("STAT_NAME"), F.coalesce("title", F.lit("")).alias("TITLE"), text("source").alias("GOV_ORG"))
     lone = F.to_json(F.struct(F.struct(F.struct(t.alias("TABLE_INF")).alias("DATALIST_INF")).alias("GET_STATS_LIST")))
     many = F.to_json(F.struct(F.struct(F.struct(F.array(t).alias("TABLE_INF")).alias("DATALIST_INF")).alias("GET_STATS_LIST")))
     body = load(s, d, "documents").select(F.lit("u").alias("url"), F.when(F.col("doc_id") % 2 == 0, lone).otherwise(many).alias("body"))
-    return apis.estat(body, ["copper", "freight"]).select("doc_id", "category", "gov_org")
+    return apis.estat(body, ["copper", "freight"]).select("doc_id", "title", "url", "description", "series_name", "gov_org", "category")
 
 
 @query("feed_items")
@@ -150,19 +155,36 @@ def pending_records(s, d):
     return load(s, d, "articles").where(F.col("classification_status").isin(*private.PENDING, "pending", "error")).select("article_seq")
 
 
-_HEAD = f"select article_seq as seq, {SQL_HOST} as source_domain, substr(coalesce(description, ''), 1, 200) as public_excerpt, coalesce(description, '') <> '' as body_available, sha256({sql_norm('title_original')}) as title_hash from articles"
+_FETCHED = "2026-07-15T00:00:00+00:00"
+SQL_BUILD = f"""with h as ({SQL_URL}), z as ({SQL_SANE})
+select a.article_seq as seq, coalesce(s.id, '') as source_id, 'art_' || substr(sha256(h.url), 1, 24) as article_id, h.url as canonical_url, coalesce(a.canonical_url, '') as normalized_url, coalesce(s.name, '') as source_name, coalesce({SQL_HOST}, '') as source_domain, coalesce(s.trust, 0.5e0) as source_trust, coalesce(s.language, 'ja') as language,
+ coalesce(title_original, '') as title_original, coalesce(description, '') as description, substr(coalesce(description, ''), 1, 200) as public_excerpt, coalesce(description, '') <> '' as body_available, coalesce(s.country, '') as countries, case when z.inferred then '{_FETCHED}' else z.published end as published_at_utc, z.inferred as date_inferred, z.raw as raw_published_at,
+ sha256(h.url) as canonical_hash, sha256({sql_norm('title_original')}) as title_hash, sha256({sql_norm('title_original')} || '|' || {sql_norm('description')}) as content_hash
+ from articles a join h using (article_seq) join z using (article_seq) left join sources s on s.name = a.source_name"""
 
 
-@query("build_articles", _HEAD.replace(SQL_HOST, f"coalesce({SQL_HOST}, '')"))
+@query("build_articles", SQL_BUILD)
 def build_articles(s, d):
-    """The whole chain over the store's rows as raw records; the parts that one SQL can restate are compared."""
-    raw = load(s, d, "articles").select(F.col("article_seq").alias("seq"), F.lit("").alias("source_id"), F.col("title_original").alias("title"), F.col("canonical_url").alias("url"), "description", "published_at_utc", F.col("raw_published_at").alias("published_raw"))
-    return building.build_articles(raw, load(s, d, "sources"), now_column()).select("seq", "source_domain", "public_excerpt", "body_available", "title_hash")
+    """The whole chain over the store's rows as raw records of the sources that they name; scores and categories, which
+    other queries compare, are left out here."""
+    src = load(s, d, "sources")
+    by_name = src.groupBy(F.col("name").alias("source_name")).agg(F.min("id").alias("source_id"))
+    raw = load(s, d, "articles").join(by_name, "source_name", "left").select(F.col("article_seq").alias("seq"), F.coalesce("source_id", F.lit("")).alias("source_id"), F.col("title_original").alias("title"), F.col("canonical_url").alias("url"), "description", "published_at_utc", F.col("raw_published_at").alias("published_raw"))
+    kept = ["seq", "source_id", "article_id", "canonical_url", "normalized_url", "source_name", "source_domain", "source_trust", "language", "title_original", "description", "public_excerpt", "body_available", "countries", "published_at_utc", "date_inferred", "raw_published_at", "canonical_hash", "title_hash", "content_hash"]
+    return views.flat(building.build_articles(raw, src, now_column()).select(*kept))
 
 
 @query("published_package")
 def published_package(s, d):
-    """Item counts of the package built from the tables."""
-    parts = {"theme_summary": rollups.theme_summary(s, d), "global_drivers": rollups.global_drivers(s, d), "risk_radar": rollups.risk_radar(s, d), "market_reactions": rollups.reaction_view(s, d), "event_clusters": rollups.event_clusters(s, d), "source_health": store.source_health(s, d), "store_status": store.store_status(s, d), "quality_metrics": rollups.quality_metrics(s, d)}
-    p = pipeline.package(load(s, d, "articles"), parts)
+    """Item counts of the package built from the tables; the history is that of its most important article."""
+    a = load(s, d, "articles")
+    e = history.entities(*history.KINDS)
+    x = a.select("article_seq", e.alias("e"), F.date_trunc("second", times.parse_iso(F.col("published_at_utc"))).alias("t"), number(F.col("importance_score")).alias("i"))
+    first = x.where("t is not null and size(e) > 0").orderBy(F.col("i").desc(), F.col("t").desc(), "article_seq").limit(1)
+    found = history.matches(first.select(F.col("article_seq").alias("cur"), "t", "e"), x.where("t is not null").select(F.col("article_seq").alias("old"), "t", "e"))
+    parts = {
+        "theme_summary": rollups.theme_summary(s, d), "global_drivers": rollups.global_drivers(s, d), "risk_radar": rollups.risk_radar(s, d), "market_reactions": rollups.reaction_view(s, d), "event_clusters": rollups.event_clusters(s, d), "source_health": store.source_health(s, d),
+        "store_status": store.store_status(s, d), "quality_metrics": rollups.quality_metrics(s, d), "historical_matches": history.context(found, a, "article_seq").orderBy("rank"),
+    }
+    p = pipeline.package(a, parts, rollups.reactions(s, d), now_column())
     return s.createDataFrame([(k, len(v)) for k, v in sorted(p.items())], "part string, items int")

@@ -12,6 +12,10 @@ from .feeds import items
 
 Transport = Callable[[str, dict, float], tuple[int, dict, bytes]]
 FINAL = {401, 403, 404, 410, 429}  # fixed values: statuses that a repeat doesn't mend
+CURSOR = {
+    "last_fetch_started_at": "string", "last_fetch_completed_at": "string", "latest_published_at": "string", "latest_article_id": "string", "etag": "string", "last_modified": "string", "last_http_status": "int", "consecutive_failures": "int",
+    "last_success_count": "int", "next_retry_at": "string", "last_error": "string",
+}
 RESULT = "source_name string, status string, http_status int, etag string, last_modified string, error string, items array<struct<title string, url string, description string, published_raw string, updated_raw string, source string>>"
 
 
@@ -76,15 +80,33 @@ def fetch(sources: DataFrame, transport: Transport, per_host: int = 2, pause: fl
     return spread.select("source_name", "url", "etag", "last_modified").mapInPandas(run, RESULT)
 
 
-def advance(cursors: DataFrame, results: DataFrame, now: str) -> DataFrame:
-    """Cursors after a run: an answer clears the failures, a failure counts and waits half an hour and moves no
-    position; sources without a result stay as they are."""
+def advance(cursors: DataFrame, results: DataFrame, now: str, newest: DataFrame | None = None) -> DataFrame:
+    """Cursors after a run over results (source_name, status, http_status, etag, last_modified, error).
+
+    An answer clears the failures and takes over the marks it has; one with new articles, newest (source_name,
+    latest_published_at, latest_article_id, n), moves the position; a failure counts, waits half an hour and moves
+    nothing. Sources without a result stay as they are, new ones get a cursor.
+    """
+    known = set(cursors.columns)
+    had = cursors.select("source_name", *((F.col(c) if c in known else F.lit(None).cast(t)).alias(c) for c, t in CURSOR.items()))
     r = results.select("source_name", F.col("status").alias("_s"), F.col("http_status").alias("_h"), F.col("etag").alias("_e"), F.col("last_modified").alias("_m"), F.col("error").alias("_x"))
-    x = cursors.join(r, "source_name", "left")
-    good, bad = F.col("_s").isin("ok", "not_modified"), F.col("_s") == "failed"
+    n = newest.select("source_name", F.col("latest_published_at").alias("_p"), F.col("latest_article_id").alias("_a"), F.col("n").alias("_n")) if newest is not None else None
+    x = had.join(r, "source_name", "full")
+    x = x.join(n, "source_name", "left") if n is not None else x.withColumns({c: F.lit(None).cast(t) for c, t in (("_p", "string"), ("_a", "string"), ("_n", "bigint"))})
+    ok, answered, bad = F.col("_s") == "ok", F.col("_s").isin("ok", "not_modified"), F.col("_s") == "failed"
     later = F.date_format(F.lit(now).cast("timestamp") + F.expr("interval 30 minutes"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    moved = lambda new, old: F.when(ok & F.col(new).isNotNull(), F.col(new)).otherwise(F.col(old)).alias(old)
+    mark = lambda new, old: F.when(answered & (F.coalesce(new, F.lit("")) != ""), F.col(new)).otherwise(F.col(old)).alias(old)
+    stamp = lambda old: F.when(F.col("_s").isNotNull(), F.lit(now)).otherwise(F.col(old)).alias(old)
     return x.select(
-        "source_name", F.when(F.col("_s") == "ok", F.col("_e")).otherwise(F.col("etag")).alias("etag"), F.when(F.col("_s") == "ok", F.col("_m")).otherwise(F.col("last_modified")).alias("last_modified"),
-        F.coalesce("_h", "last_http_status").alias("last_http_status"), F.when(good, 0).when(bad, F.coalesce("consecutive_failures", F.lit(0)) + 1).otherwise(F.col("consecutive_failures")).alias("consecutive_failures"),
-        F.when(good, "").when(bad, later).otherwise(F.col("next_retry_at")).alias("next_retry_at"), F.when(good, "").when(bad, F.col("_x")).otherwise(F.col("last_error")).alias("last_error"),
+        "source_name", stamp("last_fetch_started_at"), stamp("last_fetch_completed_at"), moved("_p", "latest_published_at"), moved("_a", "latest_article_id"), mark("_e", "etag"), mark("_m", "last_modified"),
+        F.when(F.col("_s").isNotNull(), F.col("_h")).otherwise(F.col("last_http_status")).alias("last_http_status"), F.when(answered, 0).when(bad, F.coalesce("consecutive_failures", F.lit(0)) + 1).otherwise(F.col("consecutive_failures")).alias("consecutive_failures"),
+        F.when(ok, F.coalesce("_n", F.lit(0)).cast("int")).otherwise(F.col("last_success_count")).alias("last_success_count"), F.when(bad, later).otherwise(F.col("next_retry_at")).alias("next_retry_at"), F.when(answered, "").when(bad, F.col("_x")).otherwise(F.col("last_error")).alias("last_error"),
     )
+
+
+def reachable(sources: DataFrame, transport: Transport, **options) -> DataFrame:
+    """(status, n): one request to each source (source_name, url), as a check before it is enabled; nothing is kept."""
+    asked = sources.select("source_name", "url", F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("last_modified"))
+    status = F.when(F.col("status").isin("ok", "not_modified"), "reachable").otherwise("failed")
+    return fetch(asked, transport, **options).groupBy(status.alias("status")).agg(F.count("*").alias("n"))

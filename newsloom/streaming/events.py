@@ -24,24 +24,35 @@ def run_to_table(stream: DataFrame, mode: str) -> DataFrame:
     each = lambda df, n: df.write.mode("overwrite").parquet(f"{out}/" + ("result" if mode == "complete" else f"batch={n}"))
     stream.writeStream.outputMode(mode).option("checkpointLocation", shared_path(spark, "offsets")).trigger(availableNow=True).foreachBatch(each).start().awaitTermination()
     schema = stream.schema
-    return spark.read.schema(schema).parquet(f"{out}/result" if mode == "complete" else out).select(*schema.names)
+    got = spark.read.schema(schema.add("batch", "long") if mode == "update" else schema).parquet(f"{out}/result" if mode == "complete" else out)
+    return got if mode == "update" else got.select(*stream.columns)
+
+
+def last_updates(updates: DataFrame, *keys: str) -> DataFrame:
+    """Of a table of updates by batch each key's last row."""
+    others = [c for c in updates.columns if c not in (*keys, "batch")]
+    return updates.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("_last")).select(*keys, "_last.*")
 
 
 def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tumbling days of event time, two days of lateness allowed."""
+    """Tumbling days of event time, two days of lateness allowed: days that the watermark has passed leave the state, so
+    each batch writes only the days it changes."""
     x = read_stream(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "48 hours")
     x = x.groupBy(F.window("at", "1 day"), "event_type").agg(F.count("*").alias("n"))
-    return run_to_table(x.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n"), "complete")
+    x = x.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    return last_updates(run_to_table(x, "update"), "day", "event_type")
 
 
 def first_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users and kinds of event that occurred, each once however often it comes."""
+    """Users and kinds of event that occurred, each once however often and however late it comes, so all of them stay
+    in the state."""
     x = read_stream(spark, sf_dir, "events").select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
     return run_to_table(x, "append")
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions of a user with gaps of up to 72 hours."""
+    """Sessions of a user with gaps of up to 72 hours, those that are still open included, which only the complete mode
+    gives; a stream without an end would take append, whose state the watermark clears."""
     x = read_stream(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "48 hours")
     x = x.groupBy(F.session_window("at", "72 hours"), "user_id").agg(F.count("*").alias("n"))
     return run_to_table(x.select("user_id", F.unix_seconds("session_window.start").alias("started"), "n"), "complete")

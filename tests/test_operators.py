@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import clustering, dedup, history, instants, private, publishing, search, selecting
-from newsloom.sources import apis, feeds, fetch, shards
+from newsloom.sources import apis, catalog, feeds, fetch, shards
 
 ARTICLE = "article_seq long, source_domain string, source_name string, raw_published_at string, published_at_utc string, published_at_jst string, fetched_at_utc string, host string, s string"
 SOURCE = "id string, name string, url string, tz_name string, date_order string"
@@ -184,12 +184,86 @@ def test_fetch_frame_and_cursors(spark):
 def test_apis(spark):
     body = json.dumps({"results": [{"docID": "d1", "filerName": "F", "edinetCode": "E1", "docTypeCode": "120", "docDescription": "", "submitDateTime": "2026-07-01 09:00"}, {"docID": "d2", "withdrawalStatus": "1"}, {"docID": ""}]})
     got = apis.edinet(spark.createDataFrame([("u", body), ("u", "not json"), ("u", None)], "url string, body string")).collect()
-    assert [(x.doc_id, x.title, x.disclosure_type, x.published_at_utc) for x in got] == [("d1", "F（E1", "earnings", "2026-07-01T00:00:00+00:00")]
+    assert [(x.doc_id, x.title, x.disclosure_type, x.published_at_utc) for x in got] == [("d1", "F（120", "earnings", "2026-07-01T00:00:00+00:00")]
     t = {"@id": "1", "STAT_NAME": {"$": "CPI index"}, "TITLE": {"$": "t"}}
     two = [json.dumps({"GET_STATS_LIST": {"DATALIST_INF": {"TABLE_INF": x}}}) for x in (t, [t, {"@id": "2", "STAT_NAME": {"$": "no"}}])]
     assert apis.estat(spark.createDataFrame([("u", x) for x in [*two, "{}", None]], "url string, body string"), ["CPI"]).count() == 2
-    with pytest.raises(ValueError, match="unknown_adapter"):
-        apis.adapter("x")
+    both = {"@id": "3", "STAT_NAME": "CPI plain", "TITLE": "t \"q\"", "GOV_ORG": {"$": "g"}}
+    got = apis.estat(spark.createDataFrame([("u", json.dumps({"GET_STATS_LIST": {"DATALIST_INF": {"TABLE_INF": both}}}))], "url string, body string"), ["CPI"]).first()
+    assert (got.series_name, got.title, got.source_metadata["category"], got.gov_org) == ('CPI plain t "q"', '[統計更新] CPI plain t "q"', "CPI", "g")
+
+
+def test_api_requests(spark):
+    """Keys, answers, errors and limits; a source that fails stops no other and no key gets into an error."""
+    asked = []
+
+    def transport(url, headers, timeout):
+        asked.append(url)
+        if "edinet" in url:
+            return 200, {"results": [{"docID": f"d{i}", "docDescription": "決算短信", "submitDateTime": "2026-07-01 09:00"} for i in range(5)]}
+        raise OSError("no way to " + url)
+
+    one = lambda adapter, context, most=2: apis.ask("s", adapter, most, "2026-07-15", context, transport)
+    assert one("edinet", {})[2:5] == ("failed", None, "api_key_unset") and not asked
+    assert one("odd", {})[2:5] == ("failed", None, "unknown_adapter:odd")
+    assert one("edinet", {"edinet_key": "k"})[2] == "ok" and "date=2026-07-15" in asked[-1] and "Subscription-Key=k" in asked[-1]
+    assert one("estat", {"estat_app_id": "secret"})[2] == "failed" and "secret" not in one("estat", {"estat_app_id": "secret"})[4]
+    bad = apis.ask("s", "estat", None, "d", {"estat_app_id": "k"}, lambda *_: (503, None))
+    assert bad[2:5] == ("failed", 503, "http_503") and apis.ask("s", "estat", None, "d", {"estat_app_id": "k"}, lambda *_: (200, "not json"))[4] == "http_200"
+    src = spark.createDataFrame([("e", "EDINET", 2), ("t", "estat", None), ("x", "other", None)], "name string, adapter string, max_items_per_fetch int")
+    body = {"results": [{"docID": f"d{i}", "docDescription": "決算短信", "submitDateTime": "2026-07-01 09:00"} for i in range(5)]}
+    got = apis.fetch(src, "2026-07-15", {"edinet_key": "k"}, lambda *_: (200, body))
+    assert {(r.source_name, r.status) for r in got.collect()} == {("e", "ok"), ("t", "failed"), ("x", "failed")}
+    raws = apis.records(got, {"edinet_key": "k"}).collect()
+    assert len(raws) == 2 and {r.source_name for r in raws} == {"e"} and raws[0].url.endswith("docID=" + raws[0].source_metadata["doc_id"])
+
+
+def test_catalogue(spark, tmp_path):
+    (tmp_path / "more.yaml").write_text("sources:\n- {id: a, name: A two, url: 'http://a', trust: 0.7, type: rss}\n- {name: ' New One ', source_class: odd, trust_score: 140}\n")
+    config = {"sources": [{"id": "a", "name": "A", "trust_score": 20}, {"id": "b", "name": "B", "url": "http://b", "enabled": False, "format": "xml"}], "sources_file": "more.yaml"}
+    got = [r.asDict() for r in catalog.load_sources(spark, config, str(tmp_path)).orderBy("seq").collect()]
+    assert [(r["id"], r["name"], r["trust_score"], r["trust"], r["format"], r["source_class"]) for r in got] == [("a", "A two", 70, 0.7, "rss", "unknown"), ("b", "B", 50, 0.5, "auto", "unknown"), ("new_one", " New One ", 140, 1.0, "auto", "unknown")]
+    every = catalog.load_sources(spark, config, str(tmp_path))
+    assert [r.id for r in catalog.enabled(every).collect()] == ["a"] and [r.id for r in catalog.to_verify(every).collect()] == ["b"]
+    assert [r.id for r in catalog.in_order(every).collect()] == ["a", "b", "new_one"] and catalog.load_config(str(tmp_path / "none")) == {}
+    assert catalog.load_sources(spark, {}).count() == 0
+
+
+def test_private_store(spark, tmp_path):
+    when = lambda h: f"2026-07-01 {h:02d}:00:00"
+    rows = lambda *x: spark.createDataFrame(x, "title string, body string, at string").selectExpr("title", "body", "cast(at as timestamp) submitted_at")
+    store = private.PrivateStore(spark, str(tmp_path / "p"))
+    assert store.health() == {"present": False, "count": 0, "health": "not_present"}
+    bad = store.submit(rows(("t", "copper  bond", when(1)), ("", "another text", when(2)), ("x", " ", when(3)), (None, "z" * 30_001, when(3))))
+    assert sorted(r.reason for r in bad.collect()) == ["empty", "too_long"]
+    store.submit(rows(("again", "copper bond", when(5))))
+    got = {r.title: r for r in store.listed().collect()}
+    assert set(got) == {"t", "無題のprivate記事（07/01 11:00保存）"} and got["t"].submissions == 2 and "body" not in store.listed().columns
+    assert store.analyze(1) == 1 and store.analyze(9) == 1 and store.analyze(9) == 0 and store.read("analyses").count() == 2
+    ident = got["t"].private_article_id
+    store.delete([ident])
+    assert store.listed().count() == 1 and store.listed(True).count() == 2 and store.read("bodies").count() == 2
+    store.delete([ident], permanent=True)
+    assert store.read("bodies").count() == 1 and store.read("analyses").count() == 1 and store.health()["count"] == 2
+    store.submit(rows(("t", "copper bond", when(9))))
+    assert {r.title: r.submissions for r in store.listed().collect()}["t"] == 1
+
+
+def test_private_queue(spark):
+    posts = []
+
+    def call(method, url, payload):
+        if method == "GET":
+            return {"items": [{"private_article_id": "p1", "title": "t", "body": "wholly secret"}, {"private_article_id": "p2", "body": ""}, {"private_article_id": "p3", "body": "x"}]}
+        if url.endswith("p3") and payload["status"] == "completed":
+            raise OSError
+        posts.append((url, payload))
+
+    now = F.lit("2026-07-15T00:00:00+00:00").cast("timestamp")
+    assert private.sync_queue(spark, "u", call, now) == {"fetched": 3, "analyzed": 1, "failed": 2}
+    assert [(u, p["status"]) for u, p in posts] == [("u/analysis/p1", "completed"), ("u/analysis/p3", "failed_analysis")]
+    assert "secret" not in json.dumps(posts[0][1]["derived"], default=str)
+    assert private.sync_queue(spark, "u", lambda *_: None, now)["fetched"] == 0
 
 
 def test_shards(spark, tmp_path):
