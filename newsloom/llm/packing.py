@@ -80,3 +80,18 @@ def pack(items: DataFrame, capacity: int = CAPACITY, max_items: int = MAX_ITEMS,
 def containers(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """The container of every document, null and empty ones included, sized by the tokens of its text."""
     return pack(token_counts(documents, vocabulary), capacity)
+
+
+def invariants(documents: DataFrame, capacity: int = CAPACITY, max_items: int = MAX_ITEMS, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(documents, over_capacity, over_places, over_cost, divided_small, torn): how many documents have a container, how
+    many containers break a constraint, how many documents within the capacity are divided and how many don't add up."""
+    sizes = cut(token_counts(documents, vocabulary), "sizes")
+    x = cut(pack(sizes, capacity, max_items), "packed")
+    n = F.col("n_tokens").cast("double")
+    bins = x.groupBy("container").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("k"), F.sum(n * n).alias("c"))
+    bad = lambda c: F.count_if(c).cast("int")
+    bins = bins.agg(bad(F.col("t") > capacity).alias("over_capacity"), bad(F.col("k") > max_items).alias("over_places"), bad((F.col("k") > 1) & (F.col("c") > COST_SHARE * capacity**2)).alias("over_cost"))
+    got = x.groupBy("doc_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("k"))
+    docs = sizes.groupBy("doc_id").agg(F.sum(F.coalesce("n_tokens", F.lit(0))).alias("whole")).join(got, "doc_id", "left")
+    docs = docs.agg(F.count("t").alias("documents"), bad((F.col("k") > 1) & (F.col("whole") <= capacity)).alias("divided_small"), bad(~F.col("t").eqNullSafe(F.col("whole"))).alias("torn"))
+    return docs.join(bins, F.lit(True)).select("documents", "over_capacity", "over_places", "over_cost", "divided_small", "torn")  # one row each

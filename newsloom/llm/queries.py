@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_groups": lambda s, d: near.near_groups(load(s, d, "articles")),
     "p8_ids": lambda s, d: tokens.token_ids(load(s, d, "documents")),
     "p9_containers": lambda s, d: packing.containers(load(s, d, "documents")),
+    "p9_invariants": lambda s, d: packing.invariants(load(s, d, "documents")),
     "p10_found": lambda s, d: looks.same_look(load(s, d, "documents")),
     "p10_readings": lambda s, d: looks.look_readings(load(s, d, "documents")),
     "p10_groups": lambda s, d: looks.look_groups(load(s, d, "documents")),
@@ -59,10 +60,24 @@ _KEY = """case when trim(coalesce(canonical_url, '')) <> '' then regexp_replace(
  coalesce(array_to_string(list_sort(list_filter(list_transform(list_filter(string_split(regexp_extract(trim(canonical_url), {p}, 4), '&'), lambda x: x <> ''), lambda x: case when contains(x, '=') then x else x || '=' end),
  lambda x: lower(string_split(x, '=')[1]) not in ({t}) and not starts_with(lower(x), 'utm_'))), '&'), '') end""".format(p=PARTS, t=TRACK)
 
+_REACH = "reach(id, r) as (select id, id from node union select e.v, reach.r from reach join edge e on e.u = reach.id)"
+_P7 = f"""t as ({_grams('articles', 'article_seq')}), c as (select min(q) id, t, any_value(g) g from t group by t), x as (select id, len(g) n, unnest(g) u from c),
+link as (select ia, ib from (select a.id ia, b.id ib, a.n na, b.n nb, count(*) common from x a join x b on a.u = b.u and a.id < b.id and a.n >= 0.6 * b.n and b.n >= 0.6 * a.n group by all) where {_ALIKE})"""
+_ALL = "(select article_seq as q0, title_original, description from articles union all select incoming_seq + 1000000000000, title_original, description from incoming_articles)"
+
 ORACLES: dict[str, str] = {
-    "p7_found": f"""with t as ({_grams('articles', 'article_seq')}), c as (select min(q) id, t, any_value(g) g from t group by t), x as (select id, len(g) n, unnest(g) u from c),
-p as (select a.id ia, b.id ib, a.n na, b.n nb, count(*) common from x a join x b on a.u = b.u and a.id < b.id and a.n >= 0.6 * b.n and b.n >= 0.6 * a.n group by all), m as (select q, id from t join c using (t))
-select least(a.q, b.q) as seq_a, greatest(a.q, b.q) as seq_b from p join m a on a.id = ia join m b on b.id = ib where {_ALIKE} union all select a.q, b.q from m a join m b on a.id = b.id and a.q < b.q""",
+    "p7_groups": f"""with recursive {_P7}, m as (select q, id, count(*) over (partition by id) n from t join c using (t)), edge as (select ia u, ib v from link union all select ib, ia from link), node as (select distinct u id from edge), {_REACH},
+comp as (select id, min(r) rep from reach group by id), degree as (select u id, count(*) links from edge group by u)
+select q as article_seq, coalesce(rep, id) as group_seq, coalesce(links, 0) as links from m left join comp using (id) left join degree using (id) where rep is not null or n > 1""",
+    "p1_clusters": f"""with recursive t as ({_grams(_ALL, 'q0')}), c as (select min(q) id, t, any_value(g) g from t group by t), x as (select id, len(g) n, unnest(g) u from c),
+near as (select ia, ib from (select a.id ia, b.id ib, a.n na, b.n nb, count(*) common from x a join x b on a.u = b.u and a.id < b.id and a.n >= 0.6 * b.n and b.n >= 0.6 * a.n group by all) where {_ALIKE}),
+k as (select q, k from (select article_seq q, {_KEY} k from articles union all select incoming_seq + 1000000000000, {_KEY} from incoming_articles) where k is not null),
+pair as (select ia a, ib b from near union select id, q from t join c using (t) where q <> id union select f, q from (select q, min(q) over (partition by k) f from k) where q <> f),
+edge as (select a u, b v from pair union select b, a from pair), node as (select distinct u id from edge), {_REACH}, comp as (select id, min(r) rep from reach group by id),
+known as (select distinct greatest(a, b) q from pair) select q - 1000000000000 as incoming_seq, case when rep > 1000000000000 then 1000000000000 - rep else rep end as known_as from known join comp on comp.id = q where q > 1000000000000""",
+    "p9_invariants": "select count(*) as documents, 0 as over_capacity, 0 as over_places, 0 as over_cost, 0 as divided_small, 0 as torn from documents",
+    "p7_found": f"""with {_P7}, m as (select q, id from t join c using (t))
+select least(a.q, b.q) as seq_a, greatest(a.q, b.q) as seq_b from link join m a on a.id = ia join m b on b.id = ib union all select a.q, b.q from m a join m b on a.id = b.id and a.q < b.q""",
     "p1_found": f"""with t as ({_grams('(select article_seq as q0, title_original, description from articles union all select incoming_seq + 1000000000000, title_original, description from incoming_articles)', 'q0')}),
 x as (select q, len(g) n, unnest(g) u from t), near as (select distinct b.q from (select a.q qa, b.q qb, a.n na, b.n nb, count(*) common from x a join x b on a.u = b.u and a.q < b.q and b.q > 1000000000000 and a.n >= 0.6 * b.n and b.n >= 0.6 * a.n group by all) r, lateral (select r.qb q) b where {_ALIKE}),
 k as (select article_seq q, {_KEY} k from articles union all select incoming_seq + 1000000000000, {_KEY} from incoming_articles), same as (select q from (select q, min(q) over (partition by k) f from k where k is not null) where q > f)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank, instant, name_key
-from ..session import local, shared_path
+from ..session import cut, local, shared_path
 
 LOWEST = float("-inf")
 BINS = 256
@@ -220,7 +220,7 @@ def beyond_cap(df: DataFrame, keys: list[Column], score: Column, seq: Column, ma
     ok, s = ordered_score(score.cast("double"))
     rows = df.select(*(k.alias(f"k{i}") for i, k in enumerate(keys)), ok.alias("ok"), s.alias("s"), seq.cast("bigint").alias("q"))
     names = [f"k{i}" for i in range(len(keys))]
-    rows = rows.dropna(subset=names).withColumn("bin", score_bin(F.col("ok"), F.col("s")))
+    rows = cut(rows.dropna(subset=names).withColumn("bin", score_bin(F.col("ok"), F.col("s"))), "scored")
     hist = rows.groupBy(*names, "bin").agg(F.count("*").alias("n"))
     w = Window.partitionBy(*names)
     down = hist.withColumn("upto", F.sum("n").over(w.orderBy(F.col("bin").desc()))).withColumn("total", F.sum("n").over(w))
