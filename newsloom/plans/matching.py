@@ -11,7 +11,7 @@ from ..operators import clustering, dedup, history, selecting
 from ..tables import load
 from .common import NOW, Registry, now_column
 from .rollups import SQL_REACTION, reactions
-from .scalars import SQL_AGE
+from .scalars import SQL_AGE, SQL_VIEW
 
 query = Registry()
 # What reactions are measured on.
@@ -57,9 +57,16 @@ def new_rows(s, d):
     return dedup.known(load(s, d, "incoming_articles").select("incoming_seq", *some), load(s, d, "articles").select(*some), keys).select("incoming_seq")
 
 
-@query("first_wins")
+SQL_FIRST = f"""with recursive t as (select row_number() over (order by article_seq) i, article_seq, case when c is not null then hash('c' || c) end hc, case when t is not null then hash('t' || t) end ht from {SQL_KEYS}),
+ r(i, q, keep, seen) as (select 0::bigint, null::bigint, false, []::ubigint[] union all
+  select i, article_seq, ok, case when ok then list_concat(seen, list_filter([hc, ht], lambda x: x is not null)) else seen end
+  from (select t.i, t.article_seq, hc, ht, seen, not (coalesce(list_contains(seen, hc), false) or coalesce(list_contains(seen, ht), false)) ok from r join t on t.i = r.i + 1))
+select q as article_seq from r where keep"""
+
+
+@query("first_wins", SQL_FIRST)
 def first_wins(s, d):
-    """Order decides; tests hold it against a sequential reader."""
+    """Order decides: the SQL reads the rows one by one."""
     return dedup.first_wins(_keys(s, d), "article_seq", ["c", "t"])
 
 
@@ -121,16 +128,29 @@ def top_retrieval(s, d):
     return scored(s, d).select("article_seq", "score").orderBy(F.col("score").desc(), "article_seq").limit(100)
 
 
-@query("select_diverse")
+def sql_diverse(scored: str, target: int, source_cap: int, theme_cap: int) -> str:
+    """The capped selection row by row."""
+    full = lambda name, v, cap: f"len(list_filter({name}, lambda x: x = {v})) >= {cap}"
+    return f"""with recursive t as (select row_number() over (order by score desc, article_seq) i, article_seq, score, coalesce(src, '') s, coalesce(theme, '') h, coalesce(cluster, '') c from ({scored})),
+ r(i, q, score, keep, ss, hs, cs) as (select 0::bigint, null::bigint, null::double, false, []::varchar[], []::varchar[], []::varchar[] union all
+  select i, article_seq, score, ok, case when ok then list_append(ss, s) else ss end, case when ok then list_append(hs, h) else hs end, case when ok then list_append(cs, c) else cs end
+  from (select t.*, ss, hs, cs, not ({full('ss', 's', source_cap)} or {full('hs', 'h', theme_cap)} or (c <> '' and {full('cs', 'c', 3)})) ok from r join t on t.i = r.i + 1 where len(ss) < {target}))
+select row_number() over (order by i) as rank, q as article_seq, score from r where keep"""
+
+
+@query("select_diverse", sql_diverse(SQL_RETRIEVAL, 100, 25, 35))
 def select_diverse(s, d):
-    """Three caps at once; tests hold it against a sequential reader."""
+    """Three caps at once: the SQL reads the candidates one by one."""
     return selecting.select_diverse(scored(s, d), F.col("score"), 100)
 
 
-@query("hot_articles")
+_FRESH = f"(select article_seq, case when t is null then 0e0 when n - t <= 0 then 1e0 else greatest(0e0, least(1e0, pow(0.5e0, (n - t) / 3600 / 24))) end as freshness_score from (select article_seq, cast({SQL_AGE} as double) t, cast(epoch(timestamp '{NOW}') as double) n from articles))"
+SQL_SCORED = SQL_RETRIEVAL.replace("* 100, 6)", "* 100, 2)").replace("from articles) a", f"from (select * exclude (freshness_score) from articles) join {_FRESH} using (article_seq)) a").replace("least(1e0, tr)", "tr")
+
+
+@query("hot_articles", f"select rank, article_seq, score, {SQL_VIEW} from ({sql_diverse(SQL_SCORED, 100, 20, 35)}) join articles using (article_seq)")
 def hot_articles(s, d):
-    """The published selection: a fifth of the places for one source at most, then the public view. Order decides;
-    tests hold it against a sequential reader."""
+    """The published selection: a fifth of the places for one source at most, then the public view."""
     a = load(s, d, "articles")
     best = selecting.select_diverse(selecting.retrieval_scores(a, reactions(s, d), now_column()), F.col("score"), 100, max_source_share=0.20)
     return views.flat(best.join(a.select("article_seq", *views.article_view()), "article_seq"))
