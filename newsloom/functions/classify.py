@@ -75,20 +75,27 @@ DISCLOSURES = [
 ]
 HIGH = ["guidance_revision", "M&A", "buyback", "major_contract", "litigation", "regulatory_action", "bankruptcy", "executive_change", "capex", "dividend"]
 
-_EDGE = "[^\\p{L}\\p{N}_]"
-
 
 def pattern(keyword: str) -> str:
     special = "\\.[]{}()*+-?^$|&"
     return "".join("\\" + c if c in special else c for c in keyword)
 
 
-def keyword_in(keyword: str) -> str:
-    """SQL over (text, lowered): an ASCII keyword as a whole word in any case, another one as it stands anywhere. A
-    plain search goes first, so the pattern is tried on the few texts that have the letters."""
-    if not keyword.isascii():
-        return f"contains(text, r'{keyword}')"
-    return f"contains(lowered, r'{keyword.lower()}') and lowered rlike r'(^|{_EDGE}){pattern(keyword.lower())}({_EDGE}|$)'"
+def _hits(text: Column, words: list[str], before: str, after: str) -> Column:
+    """The longest of the words at each place of the text where one stands. Every word at a place is a beginning of the
+    longest, so `_pairs` knows the others."""
+    if not words:
+        return F.array().cast("array<string>")
+    first = [w[0] for w in words]
+    starts = f"\\x{{{ord(min(first)):x}}}-\\x{{{ord(max(first)):x}}}"  # a range is one comparison at each place
+    one = "|".join(pattern(w) for w in sorted(words, key=lambda w: (-len(w), w)))
+    return F.regexp_extract_all(text, F.lit(f"{before}(?=[{starts}])(?=({one}){after})"), F.lit(1))
+
+
+def _map(entries: dict[str, list[int]]) -> Column:
+    if not entries:
+        return F.create_map().cast("map<string,array<int>>")
+    return F.create_map(*(x for k, v in entries.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
 
 
 def with_text(df: DataFrame, title: str = "title_original", description: str = "description") -> DataFrame:
@@ -99,9 +106,27 @@ def with_text(df: DataFrame, title: str = "title_original", description: str = "
 
 def category_hits(keywords: dict[str, list[str]] | None = None) -> Column:
     """array(struct(minus hits, category)) over the columns of with_text, best first: the different keywords of each
-    category that occur. Keywords are configuration and hold no quotes."""
-    entries = ", ".join(f"named_struct('m', -({' + '.join(f'int({keyword_in(k)})' for k in words) or '0'}), 'c', '{c}')" for c, words in (keywords or CATEGORY_KEYWORDS).items())
-    return F.expr(f"array_sort(filter(array({entries}), e -> e.m < 0))")
+    category that occur, ASCII ones as whole words in any case, others as they stand anywhere.
+
+    Two patterns, one for each kind, find all keywords in one pass over the text each.
+    """
+    pairs = [(c, w) for c, words in (keywords or CATEGORY_KEYWORDS).items() for w in dict.fromkeys(words) if w]
+    ascii_ = {w.lower() for _, w in pairs if w.isascii()}
+    other = {w for _, w in pairs if not w.isascii()}
+    ends = lambda w, x: w.startswith(x) and (len(w) == len(x) or not (w[len(x)].isalnum() or w[len(x)] == "_"))
+    found = {}  # a found word to the numbers of the pairs that it proves
+    for w in ascii_:
+        found["a" + w] = [i for i, (_, x) in enumerate(pairs) if x.isascii() and ends(w, x.lower())]
+    for w in other:
+        found["o" + w] = [i for i, (_, x) in enumerate(pairs) if not x.isascii() and w.startswith(x)]
+    edge = "[\\p{L}\\p{N}_]"
+    tagged = lambda tag, hits: F.transform(hits, lambda h: F.concat(F.lit(tag), h))
+    hits = F.concat(tagged("a", _hits(F.col("lowered"), sorted(ascii_), f"(?<!{edge})", f"(?!{edge})")), tagged("o", _hits(F.col("text"), sorted(other), "", "")))
+    table, names = _map(found), F.array(*(F.lit(c) for c, _ in pairs)) if pairs else F.array().cast("array<string>")
+    proved = F.array_distinct(F.flatten(F.transform(F.array_distinct(hits), lambda h: F.element_at(table, h))))
+    categories = F.transform(proved, lambda i: F.element_at(names, i + 1))
+    count = F.aggregate(categories, F.create_map().cast("map<string,int>"), lambda m, c: F.map_concat(F.map_filter(m, lambda k, _: k != c), F.create_map(c, F.coalesce(F.try_element_at(m, c), F.lit(0)) - 1)))
+    return F.array_sort(F.transform(F.map_entries(count), lambda e: F.struct(e["value"].alias("m"), e["key"].alias("c"))))
 
 
 def classified(hits: Column) -> Column:
