@@ -84,6 +84,24 @@ class Folder(Target):
         return True
 
 
-def summary(stats: dict) -> str:
-    """A run's numbers as a Markdown table."""
-    return "\n".join(["| Metric | Value |", "| --- | --- |", *(f"| {k} | {v} |" for k, v in sorted(stats.items()))])
+BADGES = {"healthy": "🟢 HEALTHY", "degraded": "🟡 DEGRADED", "failed": "🔴 FAILED"}
+SECTIONS = {
+    "Ingestion": ("configured_sources", "enabled_sources", "successful_sources", "unchanged_sources", "failed_sources", "fetched_items", "new_unique_articles", "exact_duplicates", "date_anomalies"),
+    "Store": ("stored_articles", "total_tank_articles", "clusters_created", "clusters_updated", "retention_deleted_shards", "quarantine_count"),
+    "Package": ("package_items", "package_size"),
+    "Run": ("run_id", "started_at", "completed_at", "total_seconds", "warning_count", "error_count"),
+}
+
+
+def summary(stats: dict | None) -> str:
+    """A run's figures in Markdown: its health, then tables by section, then what is left."""
+    if not stats:
+        return "- ⚠️ no run statistics"
+    status, left = stats.get("run_status", "unknown"), dict(stats)
+    out = [f"**Run status: {BADGES.get(status, str(status).upper())}**"]
+    left.pop("run_status", None)
+    for title, keys in (*SECTIONS.items(), ("Other", None)):
+        rows = [(k, left.pop(k)) for k in (sorted(left) if keys is None else keys) if k in left]
+        if rows:
+            out += ["", f"#### {title}", "", "| Metric | Value |", "| --- | --- |", *(f"| {k} | {v} |" for k, v in rows)]
+    return "\n".join(out)

@@ -47,7 +47,8 @@ def run_live(sources: DataFrame, cursors: DataFrame, store: str, transport, now:
     of the sources' ids, grouped and appended by one writer. log, if given, gets each source's result.
     """
     spark, context = sources.sparkSession, context or {}
-    src = cut(catalog.enabled(sources).withColumn("adapter", F.lower(F.coalesce("adapter", F.lit("rss")))), "sources")
+    src = catalog.enabled(sources).withColumn("adapter", F.lower(F.coalesce("adapter", F.lit("rss"))))
+    src = cut(src.withColumn("place", F.row_number().over(Window.orderBy("id"))), "sources")  # the catalogue, a row for each source
     marks = cursors.select(F.col("source_name").alias("name"), "etag", "last_modified")
     feeds = src.where("adapter = 'rss'").join(marks, "name", "left").select(F.col("name").alias("source_name"), "url", "etag", "last_modified")
     got = cut(fetch.fetch(feeds, transport, **options), "fetched")
@@ -58,8 +59,8 @@ def run_live(sources: DataFrame, cursors: DataFrame, store: str, transport, now:
     items = items.select("source_name", "pos", "i.title", "i.url", "i.description", F.coalesce(F.date_format(times.parse_feed_date(F.col("i.published_raw")), "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), F.lit("")).alias("published_at_utc"), F.col("i.published_raw").alias("published_raw"))
     more = apis.records(asked, context)
     more = more.select("source_name", F.row_number().over(Window.partitionBy("source_name").orderBy("published_at_utc", "url")).alias("pos"), "title", "url", "description", "published_at_utc", "published_raw")
-    raw = items.unionByName(more).join(src.select(F.col("name").alias("source_name"), F.col("id").alias("source_id")), "source_name")
-    raw = raw.withColumn("seq", F.struct("source_id", "pos"))  # the order of the sources, then theirs
+    raw = items.unionByName(more).join(src.select(F.col("name").alias("source_name"), F.col("id").alias("source_id"), "place"), "source_name")
+    raw = raw.withColumn("seq", F.shiftleft(F.col("place").cast("bigint"), 32) + F.col("pos"))  # the order of the sources, then theirs
     new, counts = run(raw, src, store, F.lit(now).cast("timestamp"), run_id)
 
     status = got.select("source_name", "status", "http_status", "etag", "last_modified", "error").unionByName(asked.select("source_name", "status", "http_status", F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("last_modified"), "error"))

@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from ..functions import scoring, text, times, views
 from ..functions.scoring import number
 from ..operators import clustering, dedup, history, selecting
+from ..operators import reactions as measured
 from ..tables import load
 from .common import NOW, Registry, now_column
 from .rollups import SQL_REACTION, reactions
 from .scalars import SQL_AGE, SQL_VIEW
 
 query = Registry()
-# What reactions are measured on.
-TARGETS = ["nikkei225", "topix", "sp500", "nasdaq", "sox", "vix", "usdjpy", "dxy", "us10y", "wti", "gold", "bitcoin", "related_sectors", "related_stocks"]
-
 SQL_KEYS = "(select article_seq, nullif(canonical_hash, '') as c, nullif(title_hash, '') as t, nullif(content_hash, '') as x, source_domain, source_trust, published_at_utc from articles)"
 
 
@@ -185,9 +183,15 @@ def escalation(s, d):
 @query("reaction_stub", """select c.event_cluster_id, t.target, x.w as reaction_window, v.value from (select distinct event_cluster_id from market_reactions) c, (select distinct target from market_reactions) t, (select unnest(['1h', '4h', '1d', '5d', '20d']) w) x
  left join (select event_cluster_id, target, reaction_window, max(value) as value from market_reactions group by 1, 2, 3) v on v.event_cluster_id = c.event_cluster_id and v.target = t.target and v.reaction_window = x.w""")
 def reaction_stub(s, d):
-    """Every cluster's full grid of targets and windows; the axes are a closed vocabulary, so the grid is explode, no join."""
+    """Every cluster's full grid of targets and windows, filled with what the table has."""
     r = load(s, d, "market_reactions")
-    cell = r.groupBy("event_cluster_id", "target", "reaction_window").agg(F.max("value").alias("value"))
-    grid = r.select("event_cluster_id").distinct().withColumn("target", F.explode(F.array(*map(F.lit, TARGETS)))).withColumn("reaction_window", F.explode(F.array(*map(F.lit, ["1h", "4h", "1d", "5d", "20d"]))))
-    return grid.join(cell, ["event_cluster_id", "target", "reaction_window"], "left")
+    return measured.record(measured.stub(r), r)[0]
+
 
+@query("reaction_tracking", f"""with ids as (select distinct event_cluster_id from event_clusters where event_cluster_id <> ''), had as (select distinct event_cluster_id from market_reactions)
+select (select count(*) from market_reactions) + 14 * 5 * (select count(*) from ids where event_cluster_id not in (select event_cluster_id from had)) as cells, (select count(*) from (select event_cluster_id from had union select event_cluster_id from ids)) as events""")
+def reaction_tracking(s, d):
+    """How large the table gets when every cluster is tracked."""
+    ids = load(s, d, "event_clusters").where("event_cluster_id <> ''").select("event_cluster_id")
+    x = measured.start_tracking(load(s, d, "market_reactions"), ids.distinct())
+    return x.agg(F.count("*").alias("cells"), F.count_distinct("event_cluster_id").alias("events"))

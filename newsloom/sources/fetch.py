@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .feeds import items
@@ -33,6 +36,24 @@ def headers(etag: str | None, modified: str | None, agent: str) -> dict[str, str
     return out
 
 
+def http_transport(url: str, head: dict, timeout: float) -> tuple[int, dict, bytes]:
+    """A plain GET; any status is an answer, no connection is an exception."""
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, headers=head), timeout=timeout) as r:
+            return r.status, dict(r.headers), r.read()
+    except urllib.error.HTTPError as x:
+        return x.code, dict(x.headers or {}), b""
+
+
+def json_transport(url: str, head: dict, timeout: float) -> tuple[int, dict | None]:
+    """http_transport's answer as JSON, None where it is none."""
+    status, _, body = http_transport(url, head, timeout)
+    try:
+        return status, json.loads(body)
+    except ValueError:
+        return status, None
+
+
 def file_transport(url: str, _headers: dict, _timeout: float) -> tuple[int, dict, bytes]:
     with open(url.removeprefix("file://"), "rb") as f:
         return 200, {}, f.read()
@@ -110,3 +131,28 @@ def reachable(sources: DataFrame, transport: Transport, **options) -> DataFrame:
     asked = sources.select("source_name", "url", F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("last_modified"))
     status = F.when(F.col("status").isin("ok", "not_modified"), "reachable").otherwise("failed")
     return fetch(asked, transport, **options).groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
+def load_cursors(spark: SparkSession, path: str) -> DataFrame:
+    """The last whole set of cursors under a folder; an empty one where there is none."""
+    v = _versions(spark, path)
+    if v:
+        return spark.read.parquet(f"{path}/{v[-1]}")
+    return spark.createDataFrame([], "source_name string, " + ", ".join(f"{c} {t}" for c, t in CURSOR.items()))
+
+
+def save_cursors(cursors: DataFrame, path: str) -> None:
+    """Writes a new set beside the old one, which goes when the new one is whole."""
+    spark, v = cursors.sparkSession, _versions(cursors.sparkSession, path)
+    cursors.coalesce(1).write.parquet(f"{path}/v{int(v[-1][1:]) + 1 if v else 0:09d}")  # a row for each source
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in v:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{old}"), True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    to = spark._jvm.org.apache.hadoop.fs.Path
+    fs = to(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(to(path)):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(to(path))) if fs.exists(to(f"{path}/{n}/_SUCCESS")))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions import classify, moments, scoring, text, times, url
+from newsloom.plans import rollups, store
 
 
 def col(spark, values, f, kind="string"):
@@ -96,3 +97,24 @@ def test_instants_in_text(raw, order, zone, epoch):
 def test_days():
     assert moments.day_of("2026/03/01") == moments.day_of("20260301") == moments.day_of("2026-03-01T00:00:00+09:00") == 20513
     assert moments.day_of("2026-03-01T20:00:00Z") == 20514 and moments.day_of("?") is None and moments.day_of(None) is None
+
+
+def test_classification_of_overlapping_keywords(spark):
+    words = {"a": ["rate", "rate hike", "hike"], "b": ["利上", "利上げ"], "c": ["Rate"], "d": ["c++", "u.s."]}
+    texts = ["A RATE HIKE came", "rates hikes", "大幅利上げ", "rate_hike", "Use C++, in the U.S. rate", None, ""]
+    df = spark.createDataFrame([(t, None) for t in texts], "title_original string, description string")
+    got = [[(-e.m, e.c) for e in r[0]] for r in classify.with_text(df).select(classify.category_hits(words)).collect()]
+    assert got == [[(3, "a"), (1, "c")], [], [(2, "b")], [], [(2, "d"), (1, "a"), (1, "c")], [], []]
+
+
+def test_plain_text():
+    assert text.plain("<p>A&amp;B &lt;b&gt;x&lt;/b&gt; &eacute;&#8230;&nbsp;y</p>  z") == "A&B x é… y z" and text.plain(None) == ""
+
+
+def test_store_status_and_health(spark):
+    a = spark.createDataFrame([("2026-07-14T01:00:00+00:00", "d"), ("2026-07-01", None), (None, "")], "published_at_utc string, source_domain string")
+    got = store.tank_status(a, quarantined=2).first()
+    assert (got.total_articles, got.new_articles_24h, got.source_count, got.storage_status) == (3, 1, 2, "degraded") and store.tank_status(a.limit(0)).first().latest_article_at == ""
+    runs = spark.createDataFrame([(0, 3, True, True), (1, 2, True, True), (0, 0, True, True), (0, 3, False, True), (0, 3, True, False)], "f int, s int, p boolean, o boolean")
+    got = [tuple(r) for r in runs.select(*rollups.run_health(F.col("f"), F.col("s"), F.col("p"), F.col("o"))).collect()]
+    assert got == [("healthy", 0), ("degraded", 0), ("degraded", 0), ("failed", 1), ("failed", 1)]

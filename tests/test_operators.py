@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.operators import clustering, dedup, history, instants, private, publishing, search, selecting
+from newsloom.operators import clustering, dedup, history, instants, private, publishing, reactions, search, selecting
 from newsloom.sources import apis, catalog, feeds, fetch, shards
 
 ARTICLE = "article_seq long, source_domain string, source_name string, raw_published_at string, published_at_utc string, published_at_jst string, fetched_at_utc string, host string, s string"
@@ -295,3 +295,34 @@ def test_every_query_has_a_callable():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and all(callable(f) for f in e.queries().values())
+
+
+def test_reactions(spark):
+    kind = "event_cluster_id string, target string, reaction_window string, value double"
+    table = spark.createDataFrame([("e1", "vix", "1h", 0.5)], kind)
+    rows = [("e1", "vix", "1h", -2.0), ("e2", "gold", "1d", None), ("e2", "gold", "4h", 1.0), ("e2", "gold", "4h", 0.2), ("e2", "tulips", "1d", 1.0), ("e2", None, None, 1.0)]
+    after, refused = reactions.record(table, spark.createDataFrame(rows, kind))
+    got = {(r.event_cluster_id, r.target, r.reaction_window): r.value for r in after.collect()}
+    assert len(got) == 1 + 14 * 5 and got[("e1", "vix", "1h")] == -2.0 and got[("e2", "gold", "4h")] == 1.0 and got[("e2", "gold", "1d")] is None and refused.count() == 2
+    assert reactions.start_tracking(after, after.select("event_cluster_id")).count() == len(got)
+
+
+def test_saved_cursors(spark, tmp_path):
+    at = str(tmp_path / "c")
+    assert fetch.load_cursors(spark, at).count() == 0
+    r = spark.createDataFrame([("a", "ok", 200, "e", "", "")], "source_name string, status string, http_status int, etag string, last_modified string, error string")
+    for n in (1, 2):
+        fetch.save_cursors(fetch.advance(fetch.load_cursors(spark, at), r, f"2026-07-1{n}T00:00:00+00:00"), at)
+    got = fetch.load_cursors(spark, at).collect()
+    assert [(x.source_name, x.etag, x.last_fetch_completed_at) for x in got] == [("a", "e", "2026-07-12T00:00:00+00:00")]
+
+
+def test_partners(spark):
+    rows = [(1, "c1", "t1", "x1", "a"), (2, "c1", "t1", "x2", "b"), (3, "c3", "t1", "x1", "b"), (4, None, "t1", "x1", "c"), (5, "c5", "t1", "x5", "a"), (6, "c6", None, None, None), (7, "c6", "t1", None, None)]
+    df = spark.createDataFrame(rows, "q long, c string, t string, x string, d string")
+    exact = lambda a, b: a[1] is not None and (a[1] == b[1] or (a[3] is not None and a[3] == b[3]))
+    want = {a[0]: sorted(b[0] for b in rows if b[0] != a[0] and exact(a, b)) for a in rows}
+    assert {r.q: (r.partners, r.first_partner) for r in dedup.exact_partners(df, "q").collect()} == {q: (len(v), v[0]) for q, v in want.items() if v}
+    other = {a[0]: sum(b[2] == a[2] and (b[4] or "") != (a[4] or "") and not exact(a, b) for b in rows) for a in rows if a[2]}
+    assert {r.q: r.partners for r in dedup.syndicated_partners(df, "q", "d").collect()} == {q: n for q, n in other.items() if n}
+    assert dedup.exact_partners(df.limit(0), "q").count() == 0 and dedup.syndicated_partners(df.limit(0), "q", "d").count() == 0
