@@ -207,7 +207,7 @@ class Batch:
         pairs = found.join(side("a"), "a").join(side("b"), "b").select("a", "b", (F.col("m") / FUNCTIONS).alias("m"), F.col("ratio").cast("double").alias("ratio"), *same)
         pairs = cut(pairs, "features")
         names = pairs.columns[2:]
-        part = cut(pairs.orderBy(F.xxhash64("a", "b")).limit(FIT_PAIRS), "fit")
+        part = pairs.orderBy(F.xxhash64("a", "b"), "a", "b").limit(FIT_PAIRS)
         good = self.checked(part, alike).withColumn("y", F.lit(1.0))
         sample = part.join(good, ["a", "b"], "left").select(*names, F.coalesce("y", F.lit(0.0)).alias("y")).collect()
         w = learned(np.array([tuple(r)[:-1] for r in sample], float).reshape(-1, len(names)), np.array([r["y"] for r in sample], float))
