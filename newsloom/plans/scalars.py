@@ -96,10 +96,12 @@ def _unescaped(c: str) -> str:
     return c
 
 
-_STRIPPED = _unescaped("regexp_replace(" + _unescaped("coalesce(description, '')") + ", '<[^>]+>', ' ', 'g')")
+def sql_plain(c: str) -> str:
+    x = _unescaped("regexp_replace(" + _unescaped(f"coalesce({c}, '')") + ", '<[^>]+>', ' ', 'g')")
+    return f"trim(regexp_replace({x}, {GAP}, ' ', 'g'))"
 
 
-@query("html_strip", f"select article_seq, trim(regexp_replace({_STRIPPED}, {GAP}, ' ', 'g')) as description from articles")
+@query("html_strip", f"select article_seq, {sql_plain('description')} as description from articles")
 def html_strip(s, d):
     """All entities; the SQL knows those that the tables hold."""
     return load(s, d, "articles").select("article_seq", text.strip_html(F.col("description")).alias("description"))

@@ -12,7 +12,7 @@ from ..sources import apis, feeds
 from ..tables import load
 from . import rollups, store
 from .common import Registry, now_column
-from .scalars import GAP, SQL_HOST, SQL_SANE, SQL_URL, classified_sql, sql_norm
+from .scalars import GAP, SQL_HOST, SQL_SANE, SQL_URL, classified_sql, sql_norm, sql_plain
 
 query = Registry()
 _DT = "case article_seq % 4 when 0 then '120' when 1 then '350' when 2 then '180' else '999' end"
@@ -43,7 +43,11 @@ def estat_map(s, d):
     return apis.estat(body, ["copper", "freight"]).select("doc_id", "title", "url", "description", "series_name", "gov_org", "category")
 
 
-@query("feed_items")
+_BARE = lambda c: f"regexp_replace(regexp_replace(coalesce({c}, ''), '^' || {GAP}, ''), {GAP} || '$', '')"
+
+
+@query("feed_items", f"""select cast(article_seq as varchar) as feed, {sql_plain('title_original')} as title, {_BARE('canonical_url')} as url, substr({sql_plain('description')}, 1, 400) as description, {_BARE('raw_published_at')} as published_raw, '' as updated_raw, {sql_plain('source_name')} as source
+ from articles where {_BARE('title_original')} <> '' or {_BARE('canonical_url')} <> ''""")
 def feed_items(s, d):
     """Every article as a feed payload, read back by the lenient reader."""
     esc = lambda c: F.replace(F.replace(F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
