@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +66,32 @@ _P7 = f"""t as ({_grams('articles', 'article_seq')}), c as (select min(q) id, t,
 link as (select ia, ib from (select a.id ia, b.id ib, a.n na, b.n nb, count(*) common from x a join x b on a.u = b.u and a.id < b.id and a.n >= 0.6 * b.n and b.n >= 0.6 * a.n group by all) where {_ALIKE})"""
 _ALL = "(select article_seq as q0, title_original, description from articles union all select incoming_seq + 1000000000000, title_original, description from incoming_articles)"
 
+
+
+def _sql_looks() -> str:
+    """The table of look-alikes over composed texts: what a composed character's parts look like, composed again."""
+    one, many, none = {}, {}, []
+    for i in range(0x80, 0x10000):
+        if 0xD800 <= i < 0xE000:
+            continue
+        c = chr(i)
+        if (x := looks.normal(c)) != unicodedata.normalize("NFC", c):
+            if not x:
+                none.append(i)
+            else:
+                (one if len(x) == 1 else many)[c] = x
+    q = lambda x: x.replace("'", "''")
+    x = f"translate(nfc_normalize(text), '{q(''.join(one))}', '{q(''.join(one.values()))}')"
+    for c, y in many.items():
+        x = f"replace({x}, '{c}', '{q(y)}')"
+    return f"nfc_normalize(regexp_replace({x}, '[{''.join(f'\\x{{{i:04X}}}' for i in none)}]', '', 'g'))"
+
+
+_LOOKS = f"select doc_id, text as v, {_sql_looks()} as k from documents where length(text) > 0"
+
 ORACLES: dict[str, str] = {
+    "p10_found": f"with d as ({_LOOKS}) select a.doc_id as doc_a, b.doc_id as doc_b from d a join d b on a.k = b.k and a.doc_id < b.doc_id and a.v <> b.v",
+    "p10_groups": f"with d as ({_LOOKS}), g as (select k, min(doc_id) as same_as, count(distinct v) as spellings from d group by 1 having count(distinct v) > 1) select doc_id, same_as, spellings from d join g using (k)",
     "p7_groups": f"""with recursive {_P7}, m as (select q, id, count(*) over (partition by id) n from t join c using (t)), edge as (select ia u, ib v from link union all select ib, ia from link), node as (select distinct u id from edge), {_REACH},
 comp as (select id, min(r) rep from reach group by id), degree as (select u id, count(*) links from edge group by u)
 select q as article_seq, coalesce(rep, id) as group_seq, coalesce(links, 0) as links from m left join comp using (id) left join degree using (id) where rep is not null or n > 1""",
