@@ -55,14 +55,16 @@ def new_rows(s, d):
     return dedup.known(load(s, d, "incoming_articles").select("incoming_seq", *some), load(s, d, "articles").select(*some), keys).select("incoming_seq")
 
 
-SQL_FIRST = f"""with recursive t as (select row_number() over (order by article_seq) i, article_seq, case when c is not null then hash('c' || c) end hc, case when t is not null then hash('t' || t) end ht from {SQL_KEYS}),
+def sql_first(keys: str) -> str:
+    """The rows (article_seq, c, t) that a reader keeps, who takes them one by one."""
+    return f"""with recursive t as (select row_number() over (order by article_seq) i, article_seq, case when c is not null then hash('c' || c) end hc, case when t is not null then hash('t' || t) end ht from {keys}),
  r(i, q, keep, seen) as (select 0::bigint, null::bigint, false, []::ubigint[] union all
   select i, article_seq, ok, case when ok then list_concat(seen, list_filter([hc, ht], lambda x: x is not null)) else seen end
   from (select t.i, t.article_seq, hc, ht, seen, not (coalesce(list_contains(seen, hc), false) or coalesce(list_contains(seen, ht), false)) ok from r join t on t.i = r.i + 1))
 select q as article_seq from r where keep"""
 
 
-@query("first_wins", SQL_FIRST)
+@query("first_wins", sql_first(SQL_KEYS))
 def first_wins(s, d):
     """Order decides: the SQL reads the rows one by one."""
     return dedup.first_wins(_keys(s, d), "article_seq", ["c", "t"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from ..streaming import events
 from .common import Registry
+from .matching import sql_first
+from .scalars import sql_norm
 
 query = Registry()
 
@@ -23,6 +25,9 @@ def stream_sessions(s, d):
     return events.sessions(s, d)
 
 
-@query("stream_ingest")
+_INCOMING = f"(select incoming_seq as article_seq, sha256(coalesce(canonical_url, '')) as c, sha256({sql_norm('title_original')}) as t from incoming_articles)"
+
+
+@query("stream_ingest", f"select article_seq as incoming_seq, c as canonical_hash, t as title_hash from ({sql_first(_INCOMING)}) join {_INCOMING} using (article_seq)")
 def stream_ingest(s, d):
     return events.ingest(s, d)
