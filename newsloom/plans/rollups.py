@@ -296,6 +296,28 @@ def coverage_metrics(s, d):
     return x.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("dimension")), 4))
 
 
+_WHERE = lambda c: f"coalesce(nullif({c}, ''), '?')"
+_TOP = lambda c: f"(select {{}} from (select {_WHERE(c)} v, count(*) n from e group by 1 order by n desc, v limit 1))"
+
+
+@query("coverage_summary", f"""with e as (select *, {TIER} t from sources where coalesce(enabled, false)) select count(*) as enabled_total, round(count_if(t = 1) / count(*)::double, 4) as tier1_share, round(count_if(country = 'JP') / count(*)::double, 4) as japan_share, round(count_if(country = 'US') / count(*)::double, 4) as us_share,
+ round(count_if(source_class in ({_Q(TIER1)})) / count(*)::double, 4) as primary_source_share, count(distinct {_WHERE('region')}) as region_diversity, count(distinct {_WHERE('primary_category')}) as category_diversity, count(distinct {_WHERE('language')}) as language_diversity,
+ {_TOP('region').format('v')} as top_region, round({_TOP('region').format('n')} / count(*)::double, 4) as top_region_share, {_TOP('primary_category').format('v')} as top_category, round({_TOP('primary_category').format('n')} / count(*)::double, 4) as top_category_share from e""")
+def coverage_summary(s, d):
+    """How widely the enabled sources spread, in one row; of equal tops the first by name. No row without sources."""
+    e = load(s, d, "sources").where("coalesce(enabled, false)").withColumn("t", F.expr(TIER))
+    named = {c: F.coalesce(F.when(F.col(c) != "", F.col(c)), F.lit("?")) for c in ("region", "primary_category", "language")}
+    e = e.withColumns({f"_{c}": v for c, v in named.items()})
+    n = F.count("*")
+    share = lambda c, a: F.round(F.count_if(c) / n, 4).alias(a)
+    x = e.agg(n.alias("enabled_total"), share(F.col("t") == 1, "tier1_share"), share(F.col("country") == "JP", "japan_share"), share(F.col("country") == "US", "us_share"), share(F.col("source_class").isin(*TIER1), "primary_source_share"), *(F.count_distinct(f"_{c}").alias(f"{a}_diversity") for c, a in (("region", "region"), ("primary_category", "category"), ("language", "language"))))
+    for c, a in (("region", "region"), ("primary_category", "category")):
+        top = e.groupBy(f"_{c}").agg(F.count("*").alias("k")).agg(F.min(F.struct((-F.col("k")).alias("m"), F.col(f"_{c}").alias("v"))).alias(f"top_{a}"))
+        x = x.join(F.broadcast(top), F.lit(True))  # one row each
+        x = x.withColumn(f"top_{a}_share", F.round(-F.col(f"top_{a}.m") / F.col("enabled_total"), 4)).withColumn(f"top_{a}", F.col(f"top_{a}.v"))
+    return x.where("enabled_total > 0")
+
+
 @query("coverage_gaps", f"""with e as (select {TIER} t, country, region from sources where coalesce(enabled, true)), m as (select count(*) n, count_if(country = 'JP') jp, count_if(country = 'US') us, count_if(t = 1) t1, (select max(c) from (select count(*) c from e group by region)) top from e)
 select unnest([case when jp / n::double < 0.12 then 'japan_low' end, case when us / n::double < 0.18 then 'us_low' end, case when top / n::double > 0.35 then 'region_high' end, case when t1 / n::double < 0.35 then 'tier1_low' end]) as gap from m""")
 def coverage_gaps(s, d):
