@@ -87,7 +87,7 @@ class Folder(Target):
 BADGES = {"healthy": "🟢 HEALTHY", "degraded": "🟡 DEGRADED", "failed": "🔴 FAILED"}
 SECTIONS = {
     "Ingestion": ("configured_sources", "enabled_sources", "successful_sources", "unchanged_sources", "failed_sources", "fetched_items", "new_unique_articles", "exact_duplicates", "date_anomalies"),
-    "Store": ("stored_articles", "total_tank_articles", "clusters_created", "clusters_updated", "retention_deleted_shards", "quarantine_count"),
+    "Store": ("stored_articles", "total_articles", "clusters_created", "clusters_updated", "retention_deleted_shards", "quarantine_count"),
     "Package": ("package_items", "package_size"),
     "Run": ("run_id", "started_at", "completed_at", "total_seconds", "warning_count", "error_count"),
 }

@@ -102,7 +102,7 @@ def run_stats(run_id: str, started: datetime, completed: datetime, results: Data
     bad = not (published and ok)
     status = "failed" if bad else "degraded" if x["failed_sources"] or not x["successful_sources"] else "healthy"
     times_ = {"started_at": started.astimezone(timezone.utc).isoformat(), "completed_at": completed.astimezone(timezone.utc).isoformat(), "total_seconds": round((completed - started).total_seconds(), 3)}
-    return {"run_id": run_id, "run_status": status, "exit_code": int(bad), **times_, "configured_sources": configured, **x, "stored_articles": x["new_unique_articles"], "total_tank_articles": total, "warning_count": x["unchanged_sources"], "error_count": x["failed_sources"], **more}
+    return {"run_id": run_id, "run_status": status, "exit_code": int(bad), **times_, "configured_sources": configured, **x, "stored_articles": x["new_unique_articles"], "total_articles": total, "warning_count": x["unchanged_sources"], "error_count": x["failed_sources"], **more}
 
 
 def save_run_stats(spark: SparkSession, path: str, stats: dict) -> None:

@@ -84,7 +84,7 @@ def upsert_incoming(s, d):
 _SINCE = "2026-07-14T00:00:00+00:00"  # a day before NOW, compared as text like every time of the store
 
 
-def tank_status(articles, quarantined: int = 0, since: str = _SINCE):
+def status_of_store(articles, quarantined: int = 0, since: str = _SINCE):
     """(total_articles, new_articles_24h, source_count, latest_article_at, storage_status) of a store of which so many
     files are in quarantine."""
     x = articles.agg(F.count("*").alias("total_articles"), F.count_if(F.col("published_at_utc") >= since).alias("new_articles_24h"), F.count_distinct("source_domain").alias("source_count"), F.coalesce(F.max("published_at_utc"), F.lit("")).alias("latest_article_at"))
@@ -94,7 +94,7 @@ def tank_status(articles, quarantined: int = 0, since: str = _SINCE):
 @query("store_status", f"select count(*) as total_articles, count_if(published_at_utc >= '{_SINCE}') as new_articles_24h, count(distinct source_domain) as source_count, coalesce(max(published_at_utc), '') as latest_article_at, 'healthy' as storage_status from articles")
 def store_status(s, d):
     """The tables are read whole, so nothing is in quarantine; tests hold the other case."""
-    return tank_status(load(s, d, "articles"))
+    return status_of_store(load(s, d, "articles"))
 
 
 @query("cursors", "select source_name, last_fetch_started_at, last_fetch_completed_at, latest_published_at, latest_article_id, etag, last_modified, last_http_status, consecutive_failures, last_success_count, coalesce(epoch(try_cast(nullif(trim(next_retry_at), '') as timestamptz)) <= epoch(timestamp '2026-07-15'), true) as retry_now from source_cursors")

@@ -80,7 +80,19 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table of a frame made by cut, which nothing reads any more."""
+    path = getattr(df, "_cut_path", None)
+    if path is not None:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        if path in _made:
+            _made.remove(path)
 
 
 def local(path: str) -> str:

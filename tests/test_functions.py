@@ -113,8 +113,8 @@ def test_plain_text():
 
 def test_store_status_and_health(spark):
     a = spark.createDataFrame([("2026-07-14T01:00:00+00:00", "d"), ("2026-07-01", None), (None, "")], "published_at_utc string, source_domain string")
-    got = store.tank_status(a, quarantined=2).first()
-    assert (got.total_articles, got.new_articles_24h, got.source_count, got.storage_status) == (3, 1, 2, "degraded") and store.tank_status(a.limit(0)).first().latest_article_at == ""
+    got = store.status_of_store(a, quarantined=2).first()
+    assert (got.total_articles, got.new_articles_24h, got.source_count, got.storage_status) == (3, 1, 2, "degraded") and store.status_of_store(a.limit(0)).first().latest_article_at == ""
     runs = spark.createDataFrame([(0, 3, True, True), (1, 2, True, True), (0, 0, True, True), (0, 3, False, True), (0, 3, True, False)], "f int, s int, p boolean, o boolean")
     got = [tuple(r) for r in runs.select(*rollups.run_health(F.col("f"), F.col("s"), F.col("p"), F.col("o"))).collect()]
     assert got == [("healthy", 0), ("degraded", 0), ("degraded", 0), ("failed", 1), ("failed", 1)]
