@@ -342,7 +342,11 @@ def validate_sources(s, d):
     return out.unionByName(twice).unionByName(urls)
 
 
-_KEYED = f"lower(regexp_replace(translate(source, '{(WIDE + DASHES).replace(chr(39), chr(39) * 2)}', '{(ASCII + '-' * len(DASHES)).replace(chr(39), chr(39) * 2)}'), '[\\s\\p{{Z}}]+|[\\x{{00AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'))"
+def sql_name_key(c: str) -> str:
+    return f"lower(regexp_replace(translate({c}, '{(WIDE + DASHES).replace(chr(39), chr(39) * 2)}', '{(ASCII + '-' * len(DASHES)).replace(chr(39), chr(39) * 2)}'), '[\\s\\p{{Z}}]+|[\\x{{00AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g'))"
+
+
+_KEYED = sql_name_key("source")
 
 
 @query("per_source_stats", f"select coalesce({_KEYED}, '') as source, count(*) as runs, cast(sum(coalesce(fetched, 0)) as bigint) as fetched, cast(sum(coalesce(new_items, 0)) as bigint) as new_items, count_if(status = 'failed') as failures from ({_DONE}) group by 1")
