@@ -69,5 +69,5 @@ _JST = "(select * from (values ('UTC', 0), ('GMT', 0), ('JST', 540)) v(c, o))"
 SQL_FOUND = f"""with {SQL_SOURCE}, {read_sql('said', "select article_seq q, raw_published_at t, s.ord ord, s.tz tz from placed")},
 {read_sql('utc', "select article_seq q, published_at_utc t, 'ymd' ord, 'UTC' tz from articles")}, {read_sql('got', "select article_seq q, fetched_at_utc t, 'ymd' ord, 'UTC' tz from articles")},
 {read_sql('jst', "select article_seq q, published_at_jst t, 'ymd' ord, 'Asia/Tokyo' tz from articles", _JST)},
-day as (select q, case when form in ('iso', 'basic') then cast(floor((e + 32400) / 86400e0) as bigint) end days from jst)
-select said.q as article_seq, said.e as published_epoch from said join utc using (q) join got using (q) join day using (q) where said.e between got.e - 7300 * 86400 and got.e + 86400 and not coalesce(utc.e = said.e and day.days = cast(floor((said.e + 32400) / 86400e0) as bigint), false)"""
+jday as (select q, case when form in ('iso', 'basic') then cast(floor((e + 32400) / 86400e0) as bigint) end as jst_day from jst)
+select said.q as article_seq, said.e as published_epoch from said join utc using (q) join got using (q) join jday using (q) where said.e between got.e - 7300 * 86400 and got.e + 86400 and not coalesce(utc.e = said.e and jday.jst_day = cast(floor((said.e + 32400) / 86400e0) as bigint), false)"""
