@@ -10,7 +10,7 @@ from ..functions.scoring import number
 from ..operators import building, history, private
 from ..sources import apis, feeds
 from ..tables import load
-from . import rollups, store
+from . import matching, rollups, store
 from .common import Registry, now_column
 from .scalars import GAP, SQL_HOST, SQL_SANE, SQL_URL, classified_sql, sql_norm, sql_plain
 
@@ -178,7 +178,14 @@ def build_articles(s, d):
     return views.flat(building.build_articles(raw, src, now_column()).select(*kept))
 
 
-@query("published_package")
+_FIRST = "article_seq = (select a.article_seq from a join articles x using (article_seq) where a.t is not null and len(a.e) > 0 order by coalesce(case when isnan(x.importance_score) then null else x.importance_score end, 0) desc, a.t desc, a.article_seq limit 1)"
+_COUNTED = {
+    **{k: rollups.query.oracles[n] for k, n in (("theme_summary", "theme_summary"), ("global_drivers", "global_drivers"), ("risk_radar", "risk_radar"), ("market_reactions", "reaction_view"), ("event_clusters", "event_clusters"), ("quality_metrics", "quality_metrics"))},
+    **{k: store.query.oracles[k] for k in ("source_health", "store_status")}, "hot_articles": matching.query.oracles["hot_articles"], "historical_matches": matching.SQL_HISTORY.replace("article_seq % 20 = 0", _FIRST),
+}
+
+
+@query("published_package", " union all ".join(f"select '{k}' as part, (select cast(count(*) as int) from ({q})) as items" for k, q in sorted(_COUNTED.items())))
 def published_package(s, d):
     """Item counts of the package built from the tables; the history is that of its most important article."""
     a = load(s, d, "articles")
