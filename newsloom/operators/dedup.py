@@ -9,10 +9,16 @@ from ..session import cut
 
 
 def known(new: DataFrame, store: DataFrame, keys: list[str]) -> DataFrame:
-    """new without the rows that share any of the keys with the store: one anti-join for each key, never one on all."""
+    """new without the rows that share any of the keys with the store: one anti-join for each key, never one on all.
+
+    The store is only asked which of the new rows' keys it has, so a small batch's keys can go to the store's files
+    by a broadcast and the store isn't shuffled.
+    """
+    out = new
     for k in keys:
-        new = new.join(store.where(F.col(k).isNotNull()).select(k).distinct(), k, "left_anti")
-    return new
+        asked = new.select(k).dropna().distinct()
+        out = out.join(store.select(k).join(asked, k, "left_semi").distinct(), k, "left_anti")
+    return out
 
 
 def first_wins(rows: DataFrame, seq: str, keys: list[str], rounds: int = 100) -> DataFrame:
