@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import joined_text, normalize_text
 from ..functions.url import address_key
-from ..session import cut, shared_path
+from ..session import cut, discard, shared_path
 from .components import merge_representatives, representatives
 from .signatures import FUNCTIONS, ROW, SHINGLE, checked, forest, neighbours
 
@@ -118,7 +118,9 @@ class History:
     def of(cls, rows: DataFrame, path: str | None = None, trees: int = PROBE_TREES) -> History:
         """A new one with rows (row, url, text and FIELDS, if any)."""
         history = cls.create(rows.sparkSession, path, trees=trees)
-        history._take(_keyed(rows), cut(_classes(_keyed(rows)).withColumn("id", F.col("first") * 2), "classes"), None)
+        fresh = cut(_classes(_keyed(rows)).withColumn("id", F.col("first") * 2), "classes")
+        history._take(_keyed(rows), fresh, None)
+        discard(fresh)
         return history
 
     def table(self, name: str) -> DataFrame:
@@ -160,6 +162,19 @@ class History:
         self.add("reps", changed)
         self.add("members", changed)
 
+    def compacted(self, path: str | None = None, buckets: int | None = None) -> History:
+        """The same history at another path with one file a bucket, and as many buckets as it needs by now; what later
+        rows have made obsolete is left out. This one stays as it is."""
+        new = History.create(self.spark, path, buckets, self.trees)
+        new.add("addresses", self.table("addresses").groupBy("kh", "key").agg(F.min("first").alias("first")))
+        for t in ("hashes", "texts", "keys"):
+            new.add(t, self.table(t))
+        reps = cut(self.table("reps").groupBy("id").agg(F.min("rep").alias("rep")), "reps")
+        new.add("reps", reps)
+        new.add("members", reps)
+        discard(reps)
+        return new
+
     def representatives(self, ids: DataFrame) -> DataFrame:
         """(id, rep) of those ids that have links."""
         return self.lookup("reps", ids).groupBy("id").agg(F.min("rep").alias("rep"))
@@ -173,13 +188,13 @@ class Batch:
         self.history = history
         new = cut(_keyed(incoming), "incoming")
         self.rows, self.few = new, settle and len(new.limit(FEW + 1).collect()) <= FEW
-        known = history.lookup("addresses", new.where("key is not null").select("kh"), self.few)
+        known = history.lookup("addresses", new.where("key is not null").select("kh"))
         seen = known.select("kh", "key", "first").unionByName(new.where("key is not null").select("kh", "key", F.col("row").alias("first")))
         seen = seen.groupBy("kh", "key").agg(F.min("first").alias("first"))
         self.by_address = new.select("row", "kh", "key").join(seen, ["kh", "key"]).where("first < row").select("row", F.lit("address").alias("kind"), "first")
 
         mine = _classes(new).withColumnRenamed("first", "row0")
-        had = history.lookup("hashes", mine.select("h1"), self.few).select("h1", "h2", "first")
+        had = history.lookup("hashes", mine.select("h1")).select("h1", "h2", "first")
         mine = mine.join(had, ["h1", "h2"], "left").join(self.by_address.select(F.col("row").alias("row0"), F.lit(True).alias("settled")), "row0", "left")
         asks = F.lit(1) if not settle else F.when(F.col("settled"), 0).otherwise(1)
         kept = ["h1", "h2", "text", *FIELDS]
@@ -225,7 +240,10 @@ class Batch:
         """(row, kind, first): the asking texts' rows that have kin before them, and one of those.
 
         The likeliest candidate of each by score is checked first, the others only where that isn't alike: the
-        score decides the order, the check the result."""
+        score decides the order, the check the result. A batch of up to FEW rows has all its few candidates checked."""
+        if self.few:
+            links = self.links(alike)
+            return links.groupBy(F.greatest("a", "b").alias("row")).agg(F.min(F.least("a", "b")).alias("first")).select("row", F.lit("near").alias("kind"), "first")
         pairs, _ = self.scored(alike)
         best = pairs.groupBy("b").agg(F.max_by("a", F.struct("score", "a")).alias("a"))
         sure = cut(self.checked(best.select("a", "b"), alike), "sure")

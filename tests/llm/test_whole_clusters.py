@@ -64,3 +64,7 @@ def test_a_merge_touches_only_its_clusters(spark):
     added = history.table("reps").count() - before
     reps = {x.id: x.rep for x in history.representatives(spark.range(40)).collect()}
     assert reps == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 12: 1, 30: 1, 20: 20, 21: 20} and added <= 7
+    small = history.compacted(buckets=2)
+    assert {x.id: x.rep for x in small.representatives(spark.range(40)).collect()} == reps and small.table("members").count() == len(reps)
+    small.merge(spark.createDataFrame([(21, 30)], "a long, b long"))
+    assert {x.id: x.rep for x in small.representatives(spark.range(40)).collect()} == reps | {20: 1, 21: 1}
