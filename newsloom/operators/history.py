@@ -113,6 +113,7 @@ def by_subsets(current: DataFrame, past: DataFrame, top: int, lookback_days: int
 def context(found: DataFrame, articles: DataFrame, seq: str) -> DataFrame:
     """What may be shown of matches (cur, old, relevance, rank): (cur, rank) and the nine columns of the past article, with
     the entities both have."""
-    mine = articles.select(F.col(seq).alias("cur"), entities(*KINDS).alias("_mine"))
-    x = found.join(mine, "cur").join(articles.withColumn("_theirs", entities(*KINDS)), found.old == F.col(seq))
-    return x.select("cur", "rank", *views.context_view(F.array_sort(F.array_intersect("_mine", "_theirs")), F.col("relevance")))
+    pairs = found.select(F.col("cur").alias("_cur"), F.col("old").alias("_old"), F.col("relevance").alias("_relevance"), F.col("rank").alias("_rank"))
+    mine = articles.select(F.col(seq).alias("_cur"), entities(*KINDS).alias("_mine"))
+    x = pairs.join(mine, "_cur").join(articles.withColumn("_theirs", entities(*KINDS)), F.col("_old") == F.col(seq))
+    return x.select(F.col("_cur").alias("cur"), F.col("_rank").alias("rank"), *views.context_view(F.array_sort(F.array_intersect("_mine", "_theirs")), F.col("_relevance")))

@@ -69,5 +69,6 @@ def retrieval_scores(articles: DataFrame, reactions: DataFrame, now: Column) ->
         "independent_source_confirmation": scoring.confirmation(F.lit(1)),
     }
     theme = F.coalesce(F.try_element_at("themes", F.lit(1)), F.col("primary_category"))
-    x = articles.join(reactions.select("event_cluster_id", "has_reaction", "magnitude"), "event_cluster_id", "left")
+    needed = ["article_seq", "event_cluster_id", "source_domain", "primary_category", "themes", "published_at_utc", "importance_score", "market_impact_score", "source_trust", "urgency_score", "structural_score"]
+    x = articles.select(*needed).join(reactions.select("event_cluster_id", "has_reaction", "magnitude"), "event_cluster_id", "left")
     return x.select("article_seq", F.col("source_domain").alias("src"), theme.alias("theme"), F.col("event_cluster_id").alias("cluster"), scoring.retrieval(parts).alias("score"))
