@@ -2,20 +2,47 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
 
 
-def representatives(links: DataFrame, rounds: int = 60) -> DataFrame:
+FEW_LINKS = 200_000
+
+
+def united(batches):
+    """(u, v) to (id, rep) by union-find, all in one task."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (y := up.setdefault(root, root)) != root:
+            root = y
+        while up[x] != root:
+            up[x], x = root, up[x]
+        return root
+
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            x, y = find(u), find(v)
+            up[max(x, y)] = min(x, y)
+    ids = list(up)
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([find(i) for i in ids], pa.int64())], ["id", "rep"])
+
+
+def representatives(links: DataFrame, rounds: int = 60, few: int = FEW_LINKS) -> DataFrame:
     """links (a, b) to (id, rep): the smallest id that each linked id reaches. Ids without a link aren't listed.
 
-    Large-star and small-star steps in turn hang every id below smaller ones until only stars are left; the rounds
-    grow with the logarithm of a component's length. The links are kept between rounds in the shared folder; only
-    their count and a checksum come to the driver. Null ends and links of an id to itself are none.
+    Up to `few` links, as a batch has, are united by one task. More of them go in rounds over all tasks: large-star and
+    small-star steps in turn hang every id below smaller ones until only stars are left; the rounds grow with the
+    logarithm of a component's length. The links are kept between rounds in the shared folder; only their count and
+    a checksum come to the driver. Null ends and links of an id to itself are none.
     """
     edges = cut(links.select(F.greatest("a", "b").cast("bigint").alias("u"), F.least("a", "b").cast("bigint").alias("v")).where("u <> v").distinct(), "links")
+    if edges.count() <= few:
+        return edges.coalesce(1).mapInArrow(united, "id long, rep long")
     seen = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -154,7 +154,7 @@ class History:
     def merge(self, links: DataFrame) -> None:
         """Takes over new links (a, b) of deliveries: only the clusters they touch are read, and only rows of those that
         change are added."""
-        links = cut(links.select("a", "b").where("a <> b").distinct(), "links")
+        links = links.select("a", "b").where("a <> b")
         ends = links.select("a").union(links.select("b"))
         roots = self.lookup("reps", ends).groupBy("id").agg(F.min("rep").alias("rep")).select("rep")
         known = cut(self.lookup("members", roots).select("id", "rep"), "known")

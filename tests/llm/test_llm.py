@@ -121,6 +121,7 @@ def test_representatives(spark):
     df = spark.createDataFrame([*links, (None, 3)], "a long, b long")
     reps = components.representatives(df)
     assert {(x.id, x.rep) for x in reps.collect()} == {(i, find(i)) for i in ids}
+    assert {(x.id, x.rep) for x in components.representatives(df, few=0).collect()} == {(i, find(i)) for i in ids}
     changed = {(x.id, x.rep) for x in components.merge_representatives(reps, spark.createDataFrame([(139, 500), (600, 601)], "a long, b long")).collect()}
     assert {(500, 100), (139, 100), (601, 600)} <= changed and (101, 100) not in changed
     assert components.representatives(df.limit(0)).count() == 0
