@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -118,9 +120,7 @@ class History:
     def of(cls, rows: DataFrame, path: str | None = None, trees: int = PROBE_TREES) -> History:
         """A new one with rows (row, url, text and FIELDS, if any)."""
         history = cls.create(rows.sparkSession, path, trees=trees)
-        fresh = cut(_classes(_keyed(rows)).withColumn("id", F.col("first") * 2), "classes")
-        history._take(_keyed(rows), fresh, None)
-        discard(fresh)
+        history._take(_keyed(rows), lambda: cut(_classes(_keyed(rows)).withColumn("id", F.col("first") * 2), "classes"), None)
         return history
 
     def table(self, name: str) -> DataFrame:
@@ -142,14 +142,19 @@ class History:
 
     def accept(self, batch: Batch) -> None:
         """Adds a probed batch; nothing accepted before is read or written."""
-        self._take(batch.rows, batch.classes.where("id is not null"), batch.sketches)
+        self._take(batch.rows, lambda: batch.classes.where("id is not null"), batch.sketches)
 
-    def _take(self, rows: DataFrame, fresh: DataFrame, sketches: DataFrame | None) -> None:
+    def _take(self, rows: DataFrame, classes: Callable[[], DataFrame], sketches: DataFrame | None) -> None:
+        """The tables don't wait for each other: their jobs run side by side."""
         even = lambda d: d.withColumn("id", F.col("id") - F.pmod("id", F.lit(2)))
-        self.add("addresses", rows.where("key is not null").groupBy("kh", "key").agg(F.min("row").alias("first")))
-        self.add("hashes", fresh)
-        self.add("texts", even(fresh))
-        self.add("keys", even(forest(fresh.select("id", "text"), self.trees) if sketches is None else sketches))
+        with ThreadPoolExecutor(4) as side:
+            first = side.submit(self.add, "addresses", rows.where("key is not null").groupBy("kh", "key").agg(F.min("row").alias("first")))
+            fresh = classes()
+            keys = forest(fresh.select("id", "text"), self.trees) if sketches is None else sketches
+            more = [side.submit(self.add, *x) for x in (("keys", even(keys)), ("texts", even(fresh)), ("hashes", fresh))]
+            for x in (first, *more):
+                x.result()
+        discard(fresh)
 
     def merge(self, links: DataFrame) -> None:
         """Takes over new links (a, b) of deliveries: only the clusters they touch are read, and only rows of those that
